@@ -96,9 +96,24 @@ class Scanner:
                 if found := self._verify(i, flat[a:b]):
                     w = np.searchsorted(starts, [a + found[0], a + found[1]], side="right") - 1 - first[row]
                     rows[row]["spans"].append((self.notices[i][0], int(w[0]), int(w[1]), found[2], 1 - found[2] / length))
+        for r in rows:
+            if r["spans"]:
+                r["spans"] = _best(r["spans"])
         return rows
 
 
+def _best(spans: list[tuple]) -> list[tuple]:
+    """Of overlapping spans the one with fewest edits, then the longest, stays."""
+    taken: set[int] = set()
+    kept: list[tuple] = []
+    for s in sorted(set(spans), key=lambda s: (s[3], s[1] - s[2], s)):
+        words = range(s[1], s[2] + 1)
+        if taken.isdisjoint(words):
+            taken.update(words)
+            kept.append(s)
+    return sorted(kept, key=lambda s: s[1:3])
+
+
 _SPAN = pa.struct([("label", pa.string()), ("first_word", pa.int64()), ("last_word", pa.int64()), ("edits", pa.int32()), ("similarity", pa.float64())])
 _SCAN = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("places", pa.list_(pa.struct([("word", pa.int64()), ("label", pa.string())]))), ("spans", pa.list_(_SPAN))])
 
@@ -109,7 +124,7 @@ def license_scan(docs: DataFrame, *, notices: tuple[tuple[str, str], ...] = NOTI
     Returns doc_id, n_words, places array<struct<word, label>> (exact phrases,
     by the place of their first word) and spans array<struct<label, first_word,
     last_word, edits, similarity>> (notices with at most a tenth of their
-    letters edited; overlapping seeds report a span once). Words are runs of
+    letters edited; of overlapping spans the one with fewest edits). Words are runs of
     letters a-z, digits and non-ASCII characters, A-Z lower-cased. A null or
     empty text gives no words and empty arrays; each repeated row gives its own
     result; extra columns are ignored. No shuffle: texts are read once.
@@ -122,7 +137,7 @@ def license_scan(docs: DataFrame, *, notices: tuple[tuple[str, str], ...] = NOTI
         for b in batches:
             for row, end, data, at in text_chunks(b.column("text")):
                 found = scanner[0].scan(data, at)
-                spans = [[dict(zip(("label", "first_word", "last_word", "edits", "similarity"), s, strict=True)) for s in sorted(set(r["spans"]))] for r in found]
+                spans = [[dict(zip(("label", "first_word", "last_word", "edits", "similarity"), s, strict=True)) for s in r["spans"]] for r in found]
                 places = [[{"word": w, "label": label} for w, label in sorted(r["places"])] for r in found]
                 yield batch(_SCAN, b.column("doc_id").slice(row, end - row), [r["n_words"] for r in found], pa.array(places, type=_SCAN.field("places").type), pa.array(spans, type=_SCAN.field("spans").type))
 
