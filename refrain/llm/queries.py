@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 
 from refrain.llm.base import fold, table
 from refrain.llm.bpe import encode_decode
+from refrain.llm.decontaminate import contamination
 from refrain.llm.exact_dedup import exact_dedup, halves
 from refrain.llm.language_id import identify_language, learn_profiles
 from refrain.llm.license_scan import license_scan
 from refrain.llm.quality import fit_quality, score_quality
+from refrain.llm.simhash import simhash_classes
 from refrain.llm.toxicity import fit_toxicity, score_toxicity
 
 
@@ -25,12 +27,27 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(docs, fit_quality(docs, labels)).select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", _predicted())
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each document that shares a passage with the benchmark."""
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.groupBy("doc_id").agg(
+        F.array_sort(F.collect_set("item_id")).alias("item_ids"),
+        F.count(F.lit(1)).alias("n_overlaps"),
+        F.max("n_words").alias("longest"),
+    )
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     profiles = learn_profiles(docs, fold("doc_id", 5) != 0)
     return identify_language(docs, profiles).select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_classes(table(spark, sf_dir, "documents"), k=4, t=4)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return exact_dedup(docs, halves(docs))
@@ -63,7 +80,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, digests=True)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op4_language, op6_exact_dedup, op8_license, op9_toxicity, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_decontaminate, op4_language, op5_simhash, op6_exact_dedup, op8_license, op9_toxicity, op10_bpe)}
 
 ORACLE_SQL = {
     "op6_exact_dedup": """
