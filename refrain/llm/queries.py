@@ -14,6 +14,8 @@ from refrain.llm.language_id import identify_language, learn_profiles
 from refrain.llm.license_scan import license_scan
 from refrain.llm.quality import fit_quality, score_quality
 from refrain.llm.simhash import simhash_classes
+from refrain.llm.substring_dedup import substring_dedup
+from refrain.llm.suffix_dedup import suffix_dedup
 from refrain.llm.toxicity import fit_toxicity, score_toxicity
 
 
@@ -37,6 +39,11 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup(table(spark, sf_dir, "documents"), window=100, digests=True)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     profiles = learn_profiles(docs, fold("doc_id", 5) != 0)
@@ -53,6 +60,11 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(docs, halves(docs))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup(table(spark, sf_dir, "documents"), window=50, digests=True)
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op8_license(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_scan(table(spark, sf_dir, "documents"))
     base = F.transform("places", lambda p: p["label"])
@@ -80,7 +92,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, digests=True)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_decontaminate, op4_language, op5_simhash, op6_exact_dedup, op8_license, op9_toxicity, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_decontaminate, op3_suffix_dedup, op4_language, op5_simhash, op6_exact_dedup, op7_substring_dedup, op8_license, op9_toxicity, op10_bpe)}
 
 ORACLE_SQL = {
     "op6_exact_dedup": """
