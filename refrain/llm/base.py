@@ -93,3 +93,9 @@ def join_few(docs: DataFrame, few: DataFrame, key: str) -> DataFrame:
     are within BROADCAST_ROWS, else a shuffled join."""
     few = cut(few)
     return docs.join(F.broadcast(few) if few.count() <= BROADCAST_ROWS else few, key)
+
+
+def drop_ids(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """``docs`` without the ids of ``rejected`` (doc_id): an anti-join, broadcast only within BROADCAST_ROWS."""
+    ids = cut(rejected.select("doc_id").distinct())
+    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, "doc_id", "left_anti").select(*docs.columns)

@@ -121,13 +121,17 @@ def exact_dedup(docs: DataFrame, historical: Column, *, id_col: str = "doc_id",
     an equi-join of rows to one row a digest, which AQE splits where it is
     skewed. Texts themselves never move.
     """
-    rows = id_text(docs, id_col, text_col).select("doc_id", F.unhex(F.sha2("text", 256)).alias("digest"))
+
+    def digests() -> DataFrame:  # anew each time: a cogroup confuses columns that both sides inherit
+        return id_text(docs, id_col, text_col).select("doc_id", F.unhex(F.sha2("text", 256)).alias("digest"))
+
+    rows = digests()
     n = buckets or max(64, 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def groups(part: DataFrame) -> DataFrame:
         return part.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")).withColumn("bucket", F.pmod(F.xxhash64("digest"), F.lit(n)).cast("int"))
 
-    history, fresh = groups(rows.filter(historical)), groups(rows.filter(~F.coalesce(historical, F.lit(False))))
+    history, fresh = groups(digests().filter(historical)), groups(digests().filter(~F.coalesce(historical, F.lit(False))))
     merged = history.groupBy("bucket").cogroup(fresh.groupBy("bucket")).applyInArrow(_lookup, "digest binary, keep_id long, group_size long")
     return rows.join(merged, "digest").select("doc_id", "keep_id", "group_size", (F.col("doc_id") == F.col("keep_id")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
 
