@@ -258,7 +258,7 @@ def shingles(text: bytes, k: int) -> set[bytes]:
 _VERDICT = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def near_duplicates(docs: DataFrame, *, k: int = 5, similarity: float = 0.8, t: int = 7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, *, k: int = 5, similarity: float = 0.8, t: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Documents whose k-word shingles are alike: doc_id and component_id of those with a partner.
 
     Candidates are the nearest fingerprints over distinct words (which a few
