@@ -2,7 +2,8 @@
 
 Suffixes are ordered by their first ``depth`` symbols. Sorted S* suffixes (an
 S-type suffix after an L-type one) are seeds: their substrings are named, and
-the string of names is sorted by recursion. Two passes induce the rest. Each
+the string of names is sorted by recursion, or in memory once it fits the budget.
+Two passes induce the rest. Each
 pass pops tuples (key, position, common prefix with the one before of that key)
 from a monotone priority queue, and pushes the tuple of the position before; its
 common prefix is one more than the least one popped since the last push of the
@@ -21,7 +22,7 @@ _BLOCK = 1 << 20
 
 
 def _array(n: int, dtype, budget: int) -> np.ndarray:
-    if n * np.dtype(dtype).itemsize <= budget // 8:
+    if n * np.dtype(dtype).itemsize <= budget // 4:
         return np.empty(n, dtype=dtype)
     with tempfile.TemporaryFile() as f:  # the mapping keeps the file until it is dropped
         return np.memmap(f, dtype=dtype, mode="w+", shape=(n,))
@@ -34,7 +35,8 @@ class BucketQueue:
     their pushes. Beyond ``budget`` bytes the tuples held move to the buckets' files.
     """
 
-    def __init__(self, keys: int, buckets: int, budget: int):
+    def __init__(self, keys: int, buckets: int, budget: int, dtype=np.int64):
+        self.dtype = np.dtype(dtype)
         self.width = max(1, -(-keys // buckets))
         self.count = -(-keys // self.width)
         self.held: dict[int, list[np.ndarray]] = {}
@@ -45,13 +47,15 @@ class BucketQueue:
         if not len(key):
             return
         bucket = key // self.width
-        rows = np.stack([key, pos, lcp], axis=1).astype(np.int64, copy=False)
+        rows = np.empty((len(key), 3), dtype=self.dtype)
+        rows[:, 0], rows[:, 1], rows[:, 2] = key, pos, lcp
         if bucket[0] != bucket[-1] or (bucket != bucket[0]).any():
             order = np.argsort(bucket, kind="stable")
             bucket, rows = bucket[order], rows[order]
         first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
-        for b, part in zip(bucket[first].tolist(), np.split(rows, first[1:]), strict=True):
-            self.held.setdefault(b, []).append(part)
+        first = first.tolist()
+        for b, x, y in zip(bucket[first].tolist(), first, [*first[1:], len(rows)], strict=True):
+            self.held.setdefault(b, []).append(rows[x:y])
         self.bytes += rows.nbytes
         if self.bytes > self.budget:
             for b, parts in self.held.items():
@@ -66,9 +70,9 @@ class BucketQueue:
         self.bytes -= sum(p.nbytes for p in parts)
         if f := self.files.pop(bucket, None):
             f.seek(0)
-            parts.insert(0, np.frombuffer(f.read(), dtype=np.int64).reshape(-1, 3))
+            parts.insert(0, np.frombuffer(f.read(), dtype=self.dtype).reshape(-1, 3))
             f.close()
-        rows = np.concatenate(parts) if parts else np.zeros((0, 3), np.int64)
+        rows = np.concatenate(parts) if parts else np.zeros((0, 3), self.dtype)
         return rows if self.width == 1 else rows[np.argsort(rows[:, 0], kind="stable")]
 
 
@@ -101,6 +105,30 @@ def _least(values: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     return out
 
 
+def _doubled(names: np.ndarray, depth: int) -> np.ndarray:
+    """Suffixes of a string of names by their first ``depth`` names, in memory: the
+    ranks of prefixes are doubled in length, for suffixes still equal alone."""
+    n = len(names)
+    order = np.argsort(names, kind="stable")
+    new = np.concatenate([[True], names[order][1:] != names[order][:-1]])
+    rank = np.empty(n, dtype=np.int64)  # place of the first equal one
+    rank[order] = np.flatnonzero(new)[np.cumsum(new) - 1]
+    length, open_ = 1, order[~(new & np.append(new[1:], True))]
+    while length < depth and len(open_):
+        after = open_ + length
+        key = np.where(after < n, rank[np.minimum(after, n - 1)], -1)
+        sub = np.argsort(rank[open_] * (n + 1) + key + 1, kind="stable")
+        open_, key = open_[sub], key[sub]
+        r = rank[open_]
+        group = np.concatenate([[True], r[1:] != r[:-1]])
+        part = group | np.concatenate([[True], key[1:] != key[:-1]])
+        start = np.flatnonzero(group)[np.cumsum(group) - 1]
+        rank[open_] = r + np.flatnonzero(part)[np.cumsum(part) - 1] - start
+        open_ = open_[~(part & np.append(part[1:], True))]
+        length *= 2
+    return np.argsort(rank, kind="stable")
+
+
 class _Level:
     def __init__(self, t: np.ndarray, sigma: int, depth: int, budget: int):
         self.t, self.sigma, self.depth, self.budget = t, sigma, depth, budget
@@ -173,6 +201,8 @@ class _Level:
         distinct, depth = int(names.max()) + 1, -(-self.depth // 2)
         if distinct == len(pos) or depth <= 1:
             return pos[np.argsort(names, kind="stable")]
+        if len(names) * 64 <= self.budget:
+            return pos[_doubled(names, depth)]
         level = _Level(names.astype(np.int32 if distinct < 1 << 31 else np.int64), distinct, depth, self.budget)
         inner = _array(len(names), np.int64, self.budget)
         end = len(names)
@@ -197,7 +227,7 @@ class _Level:
                 m = len(rows)
                 if inside.any():
                     m = int(np.searchsorted(key, target[inside].min(), side="right"))
-                key, pos, lcp = key[:m], pos[:m], rows[:m, 2].copy()
+                key, pos, lcp = key[:m], pos[:m].astype(np.int64), rows[:m, 2].astype(np.int64)
                 if lcps:
                     for i in np.flatnonzero(key != np.concatenate([[last_key], key[:-1]])).tolist():
                         q = int(pos[i - 1]) if i else last_pos
@@ -214,7 +244,7 @@ class _Level:
                 queue.push(goes[~near], pos[j[~near]] - 1, made[~near])
                 rows = rows[m:]
                 if near.any():
-                    rows = np.concatenate([rows, np.stack([goes[near], pos[j[near]] - 1, made[near]], axis=1)])
+                    rows = np.concatenate([rows, np.stack([goes[near], pos[j[near]] - 1, made[near]], axis=1).astype(rows.dtype)])
                     rows = rows[np.argsort(rows[:, 0], kind="stable")]
 
     def _carried(self, lcp: np.ndarray, j: np.ndarray, goes: np.ndarray, carry: np.ndarray) -> np.ndarray:
@@ -242,13 +272,13 @@ class _Level:
         keys = 2 * self.sigma
         buckets = min(keys, max(1024, int(self.n**0.5)))
         seeds = self.seeds()
-        queue = BucketQueue(keys, buckets, self.budget)
+        dtype = np.int32 if max(keys, self.n) < 1 << 31 else np.int64
+        queue = BucketQueue(keys, buckets, self.budget, dtype)
         queue.push(2 * self.t[seeds].astype(np.int64) + 1, seeds, self.prefixes(seeds) if lcps else np.zeros(len(seeds), np.int64))
         # The first pass leaves L suffixes in ascending order; the second wants them descending.
         total = int(self.n - np.count_nonzero(self.s))
         l_pos, l_lcp = _array(total, np.int64, self.budget), _array(total, np.int16, self.budget)
         end = total
-        previous = -1
         for key, pos, lcp in self._induce(queue, False, lcps):
             kind = key & 1 == 0
             k, p, c = key[kind], pos[kind], lcp[kind]
@@ -258,9 +288,7 @@ class _Level:
             # Seen from above, an item's neighbour of the same key is the one after it.
             l_lcp[end - len(p) : end] = c[::-1]
             end -= len(p)
-            previous = int(k[-1])
-        del previous
-        queue = BucketQueue(keys, buckets, self.budget)
+        queue = BucketQueue(keys, buckets, self.budget, dtype)
         for lo in range(0, total, _BLOCK):
             hi = min(total, lo + _BLOCK)
             p = np.asarray(l_pos[lo:hi])

@@ -301,17 +301,24 @@ def earlier(texts: DataFrame, units: Units, judge: Judge) -> DataFrame:
                 yield batch(_SHARD, *([o[i] for o in out] for i in range(3)))
 
     def settle(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[bytes]] = {}
+        for b in batches:
+            for shard, kind, blob in zip(*(b.column(c).to_pylist() for c in ("shard", "kind", "blob")), strict=True):
+                if kind == _PASS:
+                    yield from _rows(_ROWS_SPAN, unpack(blob, *_SPAN)[0])
+                else:
+                    held.setdefault(shard, []).append(blob)
+        while held:
+            yield from settle_shard(held.popitem()[1])
+
+    def settle_shard(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
         places, bodies = [], []
-        for kind, blob in _blobs(batches):
-            if kind == _PASS:
-                yield from _rows(_ROWS_SPAN, unpack(blob, *_SPAN)[0])
-                continue
+        while blobs:
+            blob = blobs.pop()
             columns, at = unpack(blob, *_SPAN, np.uint32)
             ends = at + np.cumsum(columns[4], dtype=np.int64)
             bodies += [blob[e - s : e] for s, e in zip(columns[4].tolist(), ends.tolist(), strict=True)]
             places.append(columns[:4])
-        if not places:
-            return
         doc, twin, start, n = (np.concatenate([p[i] for p in places]) for i in range(4))
         order = np.lexsort((start, twin, doc))
         # Of equal contexts the first is judged, or all of the first document; others start earlier there.
@@ -338,14 +345,18 @@ def earlier(texts: DataFrame, units: Units, judge: Judge) -> DataFrame:
     return joined.mapInArrow(cut_out, _SHARD_DDL).repartition(tasks, "shard").mapInArrow(settle, "doc_id long, twin long, start long, n long")
 
 
+_NO_ID = -(1 << 63)
+
+
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, twin, text. ``twin`` is 0 unless ids repeat; then it is a hash of the
+    """doc_id, twin, text. A null id is the least long here, so that joins needn't
+    filter it and the shuffled texts serve them all. ``twin`` is 0 unless ids repeat; then it is a hash of the
     text, so that rows of one id and text are one document and other texts under
     the same id are documents that follow each other by it."""
     texts = id_text(docs, id_col, text_col)
     repeats = texts.groupBy("doc_id").count().filter("count > 1").limit(1).count() > 0
     twin: Column = F.xxhash64("text") if repeats else F.lit(0).cast("long")
-    return texts.select("doc_id", twin.alias("twin"), "text")
+    return texts.select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("doc_id"), twin.alias("twin"), "text")
 
 
 def merge(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -359,7 +370,7 @@ def merge(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def covered(texts: DataFrame, units: Units, judge: Judge) -> DataFrame:
     """doc_id, text, starts, ends (arrays): every row with the units covered by windows that start earlier elsewhere."""
     spans = earlier(texts, units, judge).groupBy("doc_id", "twin").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
-    return texts.join(spans, ["doc_id", "twin"], "left").select("doc_id", "text", F.col("spans.start").alias("starts"), F.col("spans.n").alias("counts"))
+    return texts.join(spans, ["doc_id", "twin"], "left").select(F.when(F.col("doc_id") != _NO_ID, F.col("doc_id")).alias("doc_id"), "text", F.col("spans.start").alias("starts"), F.col("spans.n").alias("counts"))
 
 
 def intervals(b: pa.RecordBatch, units: Units) -> Iterator[tuple[bytes, np.ndarray, np.ndarray]]:
