@@ -26,10 +26,12 @@ from pyspark.sql import DataFrame
 from refrain.llm.base import batch, id_text, utf8
 
 #: Bounds of one worker's tables; a table that reaches its bound is emptied.
-MAX_STATES = 120_000
-MAX_PIECES = 160_000
+MAX_STATES = 250_000
+MAX_PIECES = 320_000
 #: Pieces over this length go through the transducer each time.
 MAX_CACHED_PIECE = 64
+#: Texts whose results are sent back at once.
+ROWS = 1000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -298,7 +300,7 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, *, digests: bool = F
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = _codec(path, pattern)
-        for b in batches:
+        for b in (whole.slice(i, ROWS) for whole in batches for i in range(0, whole.num_rows, ROWS)):
             rows: list[tuple] = []
             for text in _texts(b.column("text")):
                 made = encoder.pieces(text)
