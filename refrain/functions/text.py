@@ -10,6 +10,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 UNIT = "\u001f"
 MBID = r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"
@@ -37,7 +38,7 @@ def _full(text: str | None) -> str:
     return " ".join(re.sub(r"[\W_]", " ", folded).split())
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _normalize(s: pd.Series) -> pd.Series:
     return s.map(_full)
 
@@ -50,13 +51,13 @@ def normalize_exact(df: DataFrame, column: str, out: str) -> DataFrame:
     return df.join(other, F.col(column) == F.col("_raw"), "left").withColumn(out, F.coalesce("_norm", normalized(F.col(column)))).drop("_raw", "_norm")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def similarity_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp ratio, in the order (query, candidate); it isn't symmetric."""
     return pd.Series([SequenceMatcher(None, x or "", y or "", autojunk=False).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def combined_lookup(artist: pd.Series, recording: pd.Series) -> pd.Series:
     """Artist and recording run together, without punctuation, in ASCII."""
 

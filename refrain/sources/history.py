@@ -33,6 +33,9 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
     exports are at most some tens of megabytes each.
     """
 
+    # A file named outright is read whatever its name; in a folder names tell.
+    only = path.rstrip("/") if path.lower().endswith(".json") else "\0"
+
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for name, content in zip(pdf["path"], pdf["content"], strict=True):
@@ -40,7 +43,7 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
                     with zipfile.ZipFile(io.BytesIO(content)) as z:
                         files = [(n, z.read(n)) for n in sorted(z.namelist(), key=str.lower) if _wanted(n)]
                 else:
-                    files = [(name, content)] if _wanted(name) or len(pdf) == 1 and name.lower().endswith(".json") else []
+                    files = [(name, content)] if _wanted(name) or name.endswith(only) else []
                 for n, data in files:
                     records = json.loads(data)
                     if not isinstance(records, list):

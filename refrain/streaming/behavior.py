@@ -18,6 +18,10 @@ from refrain.functions import signals
 from refrain.sources.sinks import append_feedback
 
 
+#: Event time after which a track's running state is closed.
+IDLE_DAYS = 90
+
+
 def deduplicated(events: DataFrame, delay: str = "2 days") -> DataFrame:
     """Each event id once, as long as its copies come within the delay."""
     return events.withWatermark("played_at", delay).dropDuplicatesWithinWatermark(["event_id"])
@@ -56,11 +60,11 @@ def running_state(events: DataFrame, delay: str = "2 days") -> DataFrame:
         for pdf in batches:
             plays, ms = plays + len(pdf), ms + int(pdf["ms_played"].sum())
         state.update((plays, ms))
-        state.setTimeoutDuration(90 * 86_400_000)
+        state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + IDLE_DAYS * 86_400_000)
         yield pd.DataFrame({"track_id": [key[0]], "plays": [plays], "total_ms": [ms]})
 
     rows = events.filter((F.col("media_type") == "track") & F.col("track_id").isNotNull()).withWatermark("played_at", delay)
-    return rows.select("track_id", "played_at", "ms_played").groupBy("track_id").applyInPandasWithState(fold, "track_id string, plays long, total_ms long", "plays long, total_ms long", "update", GroupStateTimeout.ProcessingTimeTimeout)
+    return rows.select("track_id", "played_at", "ms_played").groupBy("track_id").applyInPandasWithState(fold, "track_id string, plays long, total_ms long", "plays long, total_ms long", "update", GroupStateTimeout.EventTimeTimeout)
 
 
 def log_feedback(stream: DataFrame, path: str, checkpoint: str):
