@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -99,3 +102,34 @@ def drop_ids(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     """``docs`` without the ids of ``rejected`` (doc_id): an anti-join, broadcast only within BROADCAST_ROWS."""
     ids = cut(rejected.select("doc_id").distinct())
     return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, "doc_id", "left_anti").select(*docs.columns)
+
+
+_KEPT: dict[Any, Any] = {}
+
+
+def kept(key: Any, make: Callable[[], Any]) -> Any:
+    """A worker's large table, made once and kept for its next tasks of the same kind."""
+    if key not in _KEPT:
+        forget()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def forget() -> None:
+    """Give back what tasks of another kind have kept in this worker process."""
+    if _KEPT:
+        _KEPT.clear()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+
+def fresh(run: Callable[[Iterable], Iterator]) -> Callable[[Iterable], Iterator]:
+    """For map functions that keep nothing: workers are reused, so they first drop what others kept."""
+
+    @functools.wraps(run)
+    def started(batches: Iterable) -> Iterator:
+        forget()
+        yield from run(batches)
+
+    return started

@@ -23,7 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from refrain.llm.base import batch, id_text, utf8
+from refrain.llm.base import batch, id_text, kept, utf8
 
 #: Bounds of one worker's tables; a table that reaches its bound is emptied.
 MAX_STATES = 250_000
@@ -178,8 +178,8 @@ class Transducer:
 class Encoder:
     """Splits text by a pattern and encodes every piece by the transducer."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.transducer, self.pattern = Transducer(ranks), regex.compile(pattern)
+    def __init__(self, ranks: dict[bytes, int], pattern: str, max_states: int = MAX_STATES, max_pieces: int = MAX_PIECES):
+        self.transducer, self.pattern, self.max_pieces = Transducer(ranks, max_states), regex.compile(pattern), max_pieces
         # Two generations: a full one becomes the old one, from which pieces still in use come back.
         self._kept: dict[str, tuple[tuple[int, ...], str]] = {}
         self._old: dict[str, tuple[tuple[int, ...], str]] = {}
@@ -190,7 +190,7 @@ class Encoder:
             ids = tuple(self.transducer.encode_piece(piece.encode()))
             made = (ids, " ".join(map(str, ids)))
         if len(piece) <= MAX_CACHED_PIECE:
-            if len(self._kept) >= MAX_PIECES:
+            if len(self._kept) >= self.max_pieces:
                 self._old, self._kept = self._kept, {}
             self._kept[piece] = made
         return made
@@ -270,15 +270,9 @@ class Decoder:
 _DIGESTS = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 _IDS = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
 
-_ENCODERS: dict[tuple[str, str], tuple[Encoder, Decoder]] = {}
-
-
-def _codec(path: str, pattern: str) -> tuple[Encoder, Decoder]:
-    """One codec for each worker process."""
-    if (path, pattern) not in _ENCODERS:
-        ranks = load_ranks(path)
-        _ENCODERS[path, pattern] = Encoder(ranks, pattern), Decoder(ranks)
-    return _ENCODERS[path, pattern]
+def _codec(path: str, pattern: str, max_states: int, max_pieces: int) -> tuple[Encoder, Decoder]:
+    ranks = load_ranks(path)
+    return Encoder(ranks, pattern, max_states, max_pieces), Decoder(ranks)
 
 
 def _texts(column: pa.Array) -> Iterator[str]:
@@ -287,7 +281,7 @@ def _texts(column: pa.Array) -> Iterator[str]:
         yield data[a:b].tobytes().decode("utf-8", "replace")
 
 
-def encode_decode(docs: DataFrame, path: str, pattern: str, *, digests: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode_decode(docs: DataFrame, path: str, pattern: str, *, digests: bool = False, max_states: int = MAX_STATES, max_pieces: int = MAX_PIECES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode every text by the ranks file at ``path`` and decode it again.
 
     Returns doc_id, ids array<int>, decoded string; with ``digests`` instead
@@ -296,10 +290,14 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, *, digests: bool = F
     empty text has no tokens. Repeated rows and ids each return a row; extra
     columns are ignored. Long texts stream through piece by piece. No shuffle:
     each task reads its texts once, and a lost executor's tasks just run again.
+    A worker's tables take about 0.4 kB a piece (of which two bounds' worth are
+    kept) and 0.7 kB a state; smaller bounds trade time for memory, never results.
     """
 
+    key = (path, pattern, max_states, max_pieces)
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, decoder = _codec(path, pattern)
+        encoder, decoder = kept(key, lambda: _codec(*key))
         for b in (whole.slice(i, ROWS) for whole in batches for i in range(0, whole.num_rows, ROWS)):
             rows: list[tuple] = []
             for text in _texts(b.column("text")):

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from refrain.llm.base import batch, id_text, utf8
+from refrain.llm.base import batch, fresh, id_text, utf8
 
 #: Masks over nine or ten words, seven of them marked; differing words can fall into the gaps.
 MASKS = ("1111111", "110110111", "1110101011", "1011011101")
@@ -170,6 +170,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, masks: tuple[str, ..
         mine = items.filter(F.pmod(F.xxhash64("text"), F.lit(parts)) == part)
         index = TestIndex.build([(r.item_id, r.text.encode()) for r in mine.collect()], masks, overlap)
 
+        @fresh
         def run(batches: Iterable[pa.RecordBatch], index: TestIndex = index) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 data, at = utf8(b.column("text"))

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from refrain.llm.base import batch, id_text, join_few, utf8
+from refrain.llm.base import batch, fresh, id_text, join_few, utf8
 
 PROFILE = 400
 #: Learning texts of each language, chosen by a hash of their ids.
@@ -84,6 +84,7 @@ def learn_profiles(docs: DataFrame, learn: Column, *, size: int = PROFILE, rows:
     keys = keys.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= rows).drop("r")
     texts = join_few(id_text(docs), keys, "doc_id")
 
+    @fresh
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sums: dict[str, list] = {}
@@ -119,6 +120,7 @@ def identify_language(docs: DataFrame, profiles: dict[str, np.ndarray], *, size:
         at = np.minimum(np.searchsorted(codes, mine), len(codes) - 1)
         return float(np.where(codes[at] == mine, np.abs(places[at] - np.arange(len(mine))), size).mean())
 
+    @fresh
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []

@@ -17,7 +17,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from refrain.llm.base import batch, id_text, text_chunks
+from refrain.llm.base import batch, fresh, id_text, text_chunks
 
 # Phrases matched exactly, by word.
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
@@ -131,6 +131,7 @@ def license_scan(docs: DataFrame, *, notices: tuple[tuple[str, str], ...] = NOTI
     """
     scanner: list[Scanner] = []
 
+    @fresh
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not scanner:
             scanner.append(Scanner(notices, phrases))

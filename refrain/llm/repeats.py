@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from refrain.llm.base import batch, id_text, partitions, text_chunks, utf8
+from refrain.llm.base import batch, fresh, id_text, partitions, text_chunks, utf8
 
 #: Windows of one context at most: a longer run is cut, so that no context is long.
 LONGEST = 4096
@@ -192,6 +192,7 @@ def candidates(texts: DataFrame, units: Units) -> DataFrame:
     tasks = partitions(texts.sparkSession)
     shards = tasks * SHARDS
 
+    @fresh
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, twins, found = b.column("doc_id").to_numpy(), b.column("twin").to_numpy(), []
@@ -219,6 +220,7 @@ def candidates(texts: DataFrame, units: Units) -> DataFrame:
             out = [*_dealt(told, (told[4] % np.uint64(shards)).astype(np.int64), _JUDGE), *_dealt(known, (_mix(known[4] ^ known[0].view(np.uint64)) % np.uint64(shards)).astype(np.int64), _PASS)]
             yield batch(_SHARD, *([o[i] for o in out] for i in range(3)))
 
+    @fresh
     def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judged = []
         for kind, blob in _blobs(batches):
@@ -260,6 +262,7 @@ def earlier(texts: DataFrame, units: Units, judge: Judge) -> DataFrame:
     found = candidates(texts, units).groupBy("doc_id", "twin").agg(F.collect_list(F.struct("start", "n", "key")).alias("runs"))
     joined = texts.join(found, ["doc_id", "twin"]).select("doc_id", "twin", "text", F.col("runs.start").alias("start"), F.col("runs.n").alias("n"), F.col("runs.key").alias("key"))
 
+    @fresh
     def cut_out(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, at = utf8(b.column("text"))
@@ -300,6 +303,7 @@ def earlier(texts: DataFrame, units: Units, judge: Judge) -> DataFrame:
             if out:
                 yield batch(_SHARD, *([o[i] for o in out] for i in range(3)))
 
+    @fresh
     def settle(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[bytes]] = {}
         for b in batches:

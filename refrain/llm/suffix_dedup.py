@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from refrain.llm.base import batch
+from refrain.llm.base import batch, fresh
 from refrain.llm.induced import suffixes
 from refrain.llm.repeats import Units, covered, intervals, keyed
 
@@ -83,6 +83,7 @@ def suffix_dedup(docs: DataFrame, *, window: int = 100, digests: bool = False, i
     def judge(contexts: list[bytes], counts: list[int], _: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         return later_windows(contexts, counts, window)
 
+    @fresh
     def finish(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows: list[tuple] = []

@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from refrain.llm.base import batch, fit_rows, id_text, join_few, utf8
+from refrain.llm.base import batch, fit_rows, fresh, id_text, join_few, utf8
 
 #: Labelled rows that a fit may use, chosen by a hash of their ids.
 FIT_ROWS = 16_000
@@ -183,6 +183,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, rows: int = FIT_ROWS, te
     keys = fit_rows(labels.filter(F.col("label").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("int").alias("label")), "doc_id", rows)
     texts = join_few(id_text(docs, id_col, text_col), keys, "doc_id").select("doc_id", "text", "label")
 
+    @fresh
     def tally(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sums: tuple[Counter, Counter] = (Counter(), Counter())
@@ -199,6 +200,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, rows: int = FIT_ROWS, te
     chosen = [r.term for r in sums.filter((F.col("a") >= support) & (odds > 1.5) & (weight > 3)).orderBy(F.desc(F.round(weight, 9)), "term").limit(terms).select("term").collect()]
     matcher: list[Matcher] = []
 
+    @fresh
     def examples(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not matcher:
             matcher.append(Matcher(chosen))
@@ -221,6 +223,7 @@ def score_toxicity(docs: DataFrame, index: Index, *, k: int = NEIGHBOURS, id_col
     """
     state: list = []
 
+    @fresh
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not state:
             state.append(Matcher(index.terms))
