@@ -22,12 +22,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from refrain.llm.base import batch, cut, id_text, utf8
+from refrain.llm.base import batch, cut, fresh, id_text, utf8
 
 _BITS = (np.arange(256)[:, None] >> np.arange(8) & 1).astype(np.int64)
 _STEP = 1 << 16
 #: Children of a node; queries searched at once; frontier entries before a search is halved.
-FANOUT, QUERIES, FRONTIER = 8, 4096, 1 << 21
+FANOUT, QUERIES, FRONTIER = 8, 1024, 1 << 16
 #: Distinct fingerprints expected in a bucket before more blocks must agree.
 BUCKET = 1 << 12
 
@@ -122,15 +122,17 @@ class GrayIndex:
         apart = np.flatnonzero(label != np.arange(len(label)))
         return self.order[apart], self.order[label[apart]]
 
-    def nearest(self, t: int) -> tuple[np.ndarray, np.ndarray]:
-        """For each fingerprint with others within ``t`` bits the nearest of them, as places in the input."""
+    def nearest(self, t: int, most: int = 1) -> tuple[np.ndarray, np.ndarray]:
+        """For each fingerprint the ``most`` nearest others within ``t`` bits, as places in the input."""
         a, b = [], []
         for i in range(0, len(self.fps), QUERIES):
             hits = list(self._descend(t, np.arange(i, min(i + QUERIES, len(self.fps))), False, None, None))
             if hits:
                 q, leaf, acc = (np.concatenate([h[j] for h in hits]) for j in range(3))
                 best = np.lexsort((self.fps[leaf], acc, q))
-                best = best[np.concatenate([[True], q[best][1:] != q[best][:-1]])]
+                first = np.flatnonzero(np.concatenate([[True], q[best][1:] != q[best][:-1]]))
+                nth = np.arange(len(best)) - np.repeat(first, np.diff(np.append(first, len(best))))
+                best = best[nth < most]
                 a.append(self.order[q[best]])
                 b.append(self.order[leaf[best]])
         none = np.zeros(0, np.int64)
@@ -163,11 +165,11 @@ def _blocks(m: int) -> list[tuple[int, int]]:
 _LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def links(fps: DataFrame, t: int, *, nearest: bool = False, agree: int | None = None) -> DataFrame:
+def links(fps: DataFrame, t: int, *, nearest: int = 0, agree: int | None = None) -> DataFrame:
     """Links between distinct fingerprints (column fp, long) within ``t`` bits.
 
     Each bucket gives links that span its classes (or for each fingerprint its
-    nearest), so a dense group costs links in proportion to its size.
+    ``nearest`` neighbours), so a dense group costs links in proportion to its size.
     """
     if agree is None:
         n, agree = fps.count(), 1
@@ -182,13 +184,14 @@ def links(fps: DataFrame, t: int, *, nearest: bool = False, agree: int | None =
     assert comb(t + agree, agree) <= 1024
     dealt = fps.select("fp", F.explode(F.array(*keys)).alias("key")).repartition("key")
 
+    @fresh
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [(b.column("key").to_numpy(), b.column("fp").to_numpy()) for b in batches]
         if not parts:
             return
         key, fp = (np.concatenate([p[i] for p in parts]) for i in range(2))
         index = GrayIndex(key, fp.view(np.uint64))
-        a, b = index.nearest(t) if nearest else index.forest(t)
+        a, b = index.nearest(t, nearest) if nearest else index.forest(t)
         for i in range(0, len(a), 1 << 18):
             yield batch(_LINK, fp[a[i : i + (1 << 18)]], fp[b[i : i + (1 << 18)]])
 
@@ -215,19 +218,22 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-_FP = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+_FP = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64()), ("size", pa.int64())])
 
 
-def fingerprints(docs: DataFrame, k: int, *, distinct: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and fp of every whole text; null counts as empty, whose fingerprint is 0."""
+def fingerprints(docs: DataFrame, k: int, *, distinct: bool = False, sizes: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id and fp of every whole text, and ``size``, its number of distinct
+    ``sizes``-word shingles (0 unless asked). Null counts as empty, whose fingerprint is 0."""
 
+    @fresh
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, at = utf8(b.column("text"))
             made = np.fromiter((fingerprint(data[x:y].tobytes(), k, distinct) for x, y in zip(at, at[1:], strict=False)), dtype=np.uint64, count=len(at) - 1)
-            yield batch(_FP, b.column("doc_id"), made.view(np.int64))
+            size = [len(shingles(data[x:y].tobytes(), sizes)) for x, y in zip(at, at[1:], strict=False)] if sizes else np.zeros(len(made), np.int64)
+            yield batch(_FP, b.column("doc_id"), made.view(np.int64), size)
 
-    return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
+    return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long, size long")
 
 
 def simhash_classes(docs: DataFrame, *, k: int = 4, t: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -239,7 +245,7 @@ def simhash_classes(docs: DataFrame, *, k: int = 4, t: int = 4, id_col: str = "d
     as empty; an empty table gives no rows; extra columns are ignored. Copies
     meet as one fingerprint before anything is compared.
     """
-    fps = cut(fingerprints(docs, k, id_col=id_col, text_col=text_col))
+    fps = cut(fingerprints(docs, k, id_col=id_col, text_col=text_col).select("doc_id", "fp"))
     distinct = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("first")))
     found = links(distinct.select("fp"), t)
     one = distinct.select(F.col("fp").alias("a"), F.col("first").alias("first_a"))
@@ -258,25 +264,32 @@ def shingles(text: bytes, k: int) -> set[bytes]:
 _VERDICT = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def near_duplicates(docs: DataFrame, *, k: int = 5, similarity: float = 0.8, t: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, *, k: int = 5, similarity: float = 0.8, t: int = 8, nearest: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Documents whose k-word shingles are alike: doc_id and component_id of those with a partner.
 
-    Candidates are the nearest fingerprints over distinct words (which a few
+    Candidates are each bucket's ``nearest`` fingerprints over distinct words (which a few
     changed words move less than fingerprints over shingles) within ``t`` bits,
     and the first document with an equal fingerprint. A candidate pair is linked
     if the Jaccard similarity of its sets of k-word shingles is at least
     ``similarity``. Texts without words are alike. Null texts count as empty.
     """
     texts = id_text(docs, id_col, text_col)
-    fps = cut(fingerprints(texts, 1, distinct=True))
-    distinct = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    near = links(distinct.select("fp"), t, nearest=True)
-    same = fps.join(distinct, "fp").filter(F.col("doc_id") != F.col("first")).select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
-    one = distinct.select(F.col("fp").alias("a"), F.col("first").alias("first_a"))
-    two = distinct.select(F.col("fp").alias("b"), F.col("first").alias("first_b"))
-    pairs = near.join(one, "a").join(two, "b").select(F.least("first_a", "first_b").alias("a"), F.greatest("first_a", "first_b").alias("b"))
-    pairs = cut(pairs.unionByName(same.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct())
-
+    fps = cut(fingerprints(texts, 1, distinct=True, sizes=k))
+    distinct = cut(fps.groupBy("fp").agg(F.min(F.struct("doc_id", "size")).alias("f")).select("fp", "f.doc_id", "f.size"))
+    near = links(distinct.select("fp"), t, nearest=nearest)
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return df.select(F.col("fp").alias(f"fp_{name}"), F.col("doc_id").alias(name), F.col("size").alias(f"size_{name}"))
+
+    other = near.select(F.col("a").alias("fp_a"), F.col("b").alias("fp_b")).join(side(distinct, "a"), "fp_a").join(side(distinct, "b"), "fp_b")
+    same = side(fps, "a").join(side(distinct, "b"), F.col("fp_a") == F.col("fp_b")).filter("a <> b")
+    columns = ("a", "b", "size_a", "size_b")
+    pairs = other.select(*columns).unionByName(same.select(*columns))
+    # The similarity of two sets is at most the quotient of their sizes.
+    pairs = pairs.filter(F.least("size_a", "size_b") >= similarity * F.greatest("size_a", "size_b"))
+    pairs = cut(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+    @fresh
     def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             (x, xs), (y, ys) = utf8(b.column("text_a")), utf8(b.column("text_b"))
