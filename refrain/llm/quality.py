@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from refrain.llm.base import batch, fit_rows, id_text, join_few, utf8
+from refrain.llm.base import batch, fit_rows, fresh, id_text, join_few, utf8
 
 #: Labelled rows that a fit may use, chosen by a hash of their ids.
 FIT_ROWS = 20_000
@@ -67,9 +67,9 @@ class Trees:
         trees, inner = self.feature.shape
         node = np.zeros((len(x), trees), dtype=np.int64)
         rows, cols = np.arange(len(x))[:, None], np.arange(trees)
-        while trees and node[0, 0] < inner if len(x) else False:
+        for _ in range(inner.bit_length()):
             node = 2 * node + 1 + (x[rows, self.feature[cols, node]] > self.threshold[cols, node])
-        return self.base + (self.leaf[cols, node - inner].sum(axis=1) if trees else 0)
+        return self.base + self.leaf[cols, node - inner].sum(axis=1)
 
     def predict(self, x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.margin(x), -40, 40)))
@@ -125,6 +125,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, rows: int = FIT_ROWS, id_
     """Fit on ``labels`` (doc_id, label 0/1; null labels ignored), at most ``rows`` of them."""
     keys = fit_rows(labels.filter(F.col("label").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("int").alias("label")), "doc_id", rows)
 
+    @fresh
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield batch(_STATS, b.column("label").cast(pa.int64()), list(_matrix(b.column("text"))))
@@ -143,6 +144,7 @@ def score_quality(docs: DataFrame, trees: Trees, *, id_col: str = "doc_id", text
     each give a row, equal texts equal scores; extra columns are ignored.
     """
 
+    @fresh
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield batch(_SCORES, b.column("doc_id"), trees.predict(_matrix(b.column("text"))))

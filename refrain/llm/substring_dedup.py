@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from refrain.llm.base import batch
+from refrain.llm.base import batch, fresh
 from refrain.llm.repeats import Units, covered, intervals, keyed
 
 #: Suffixes of one group; its subtree takes about 6 bytes a suffix and word of the window.
@@ -24,8 +24,8 @@ GROUP = 1 << 16
 
 
 def prefix_groups(words: np.ndarray, suffix: np.ndarray, window: int, most: int = GROUP) -> Iterator[tuple[int, np.ndarray]]:
-    """(prefix length, suffixes) of groups of at most ``most`` suffixes that share a
-    prefix; a larger group shares ``window`` words. Single suffixes are left out."""
+    """(prefix length, suffixes) of groups of fewer than twice ``most`` suffixes that
+    share a prefix; a larger group shares ``window`` words. Single suffixes are left out."""
     work = [(0, suffix)]
     while work:
         length, group = work.pop()
@@ -105,6 +105,7 @@ def substring_dedup(docs: DataFrame, *, window: int = 50, digests: bool = False,
     """
     units = Units("words", window, max(1, window // 5), False)
 
+    @fresh
     def finish(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows: list[tuple] = []
