@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from refrain.llm.base import batch, cut, fresh, id_text, utf8
+from refrain.llm.base import batch, cut, fresh, id_text, partitions, utf8
 
 _BITS = (np.arange(256)[:, None] >> np.arange(8) & 1).astype(np.int64)
 _STEP = 1 << 16
@@ -182,7 +182,7 @@ def links(fps: DataFrame, t: int, *, nearest: int = 0, agree: int | None = None)
         key = functools.reduce(lambda x, y: F.shiftleft(x, 64 // (t + agree) + 1).bitwiseOR(y), parts)
         keys.append(F.shiftleft(key, 10).bitwiseOR(F.lit(number)))  # comb() of 8 over 4 and less fits ten bits
     assert comb(t + agree, agree) <= 1024
-    dealt = fps.select("fp", F.explode(F.array(*keys)).alias("key")).repartition("key")
+    dealt = fps.select("fp", F.explode(F.array(*keys)).alias("key")).repartition(partitions(fps.sparkSession), "key")  # little data, much work: not to be coalesced
 
     @fresh
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
