@@ -110,7 +110,7 @@ def platform_family(c: Column) -> Column:
 
 
 def escape_json_for_html(c: Column) -> Column:
-    for raw, safe in (("&", "\\\\u0026"), ("<", "\\\\u003c"), (">", "\\\\u003e"), (" ", "\\\\u2028"), (" ", "\\\\u2029")):
+    for raw, safe in (("&", "\\\\u0026"), ("<", "\\\\u003c"), (">", "\\\\u003e"), ("\u2028", "\\\\u2028"), ("\u2029", "\\\\u2029")):
         c = F.regexp_replace(c, raw, safe)
     return c
 

@@ -116,7 +116,7 @@ def explorer(rows: DataFrame, title: str, limit: int = 5_000) -> str:
     """One self-contained page over at most ``limit`` rows. Its script runs only under
     the hash in the page's policy, and data can't end the script it stands in."""
     data = "[" + ",".join(r.value for r in rows.limit(limit).select(F.to_json(F.struct("*")).alias("value")).collect()) + "]"
-    for raw, safe in (("&", "\\u0026"), ("<", "\\u003c"), (">", "\\u003e"), (" ", "\\u2028"), (" ", "\\u2029")):
+    for raw, safe in (("&", "\\u0026"), ("<", "\\u003c"), (">", "\\u003e"), ("\u2028", "\\u2028"), ("\u2029", "\\u2029")):
         data = data.replace(raw, safe)
     script = f"const rows={data};const t=document.querySelector('table');const keys=Object.keys(rows[0]||{{}});const line=(cells,tag)=>{{const r=t.insertRow();for(const c of cells){{const e=document.createElement(tag);e.textContent=c??'';r.append(e)}}}};line(keys,'th');for(const r of rows)line(keys.map(k=>typeof r[k]==='object'?JSON.stringify(r[k]):r[k]),'td')"
     digest = base64.b64encode(hashlib.sha256(script.encode()).digest()).decode()

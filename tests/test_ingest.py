@@ -155,7 +155,10 @@ def test_sinks(spark, tmp_path):
     assert [r.value for r in spark.read.text(str(tmp_path / "u")).collect()] == ["t2", "t1", "t0"]
     sinks.write_jsonl(rows, str(tmp_path / "j"), [F.desc("n")])
     assert "".join(p.read_text() for p in sorted((tmp_path / "j").glob("part-*"))).splitlines()[0] == '{"n":4,"spotify_uri":"t4"}'
-    page = sinks.explorer(spark.createDataFrame([("</script>",)], "x string"), "T<")
+    page = sinks.explorer(spark.createDataFrame([("</script>\u2028a b",)], "x string"), "T<")
+    assert "\\u2028a b" in page and "\u2028" not in page
+    escaped = spark.range(1).select(text.escape_json_for_html(F.lit("<a b>\u2029"))).first()[0]
+    assert escaped == "\\u003ca b\\u003e\\u2029"
     assert "</script>" not in page.split("<script>")[1].split("</script>")[0] and "\\u003c/script\\u003e" in page
 
 
