@@ -26,7 +26,8 @@ def unit(a: Column) -> Column:
 
 
 def clamp(c: Column) -> Column:
-    return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), c))
+    # least and greatest pass over nulls, so a null needs its own branch
+    return F.when(c.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), c)))
 
 
 def cosine(a: Column, b: Column) -> Column:
@@ -63,7 +64,7 @@ def weighted_query(seeds: DataFrame, vector: str, weight: str) -> DataFrame:
 
 
 def pooling_confidence(coverage_seconds: Column) -> Column:
-    return 0.95 * F.least(F.lit(1.0), coverage_seconds / 30.0)
+    return F.when(coverage_seconds.isNotNull(), 0.95 * F.least(F.lit(1.0), coverage_seconds / 30.0))
 
 
 def measurement_confidence(ceiling: Column, coverage_seconds: Column) -> Column:

@@ -97,7 +97,7 @@ def behavior_vector(track: dict[str, Column], artist: dict[str, Column], as_of_u
         share(t["negatives"], known),
         share(t["known_starts"], t["plays"]),
         share(t["meant_starts"], t["known_starts"]),
-        F.coalesce(F.pow(F.lit(0.5), since / cfg.recency_half_life_days), F.lit(0.0)),
+        F.when(track["last_us"].isNotNull(), F.pow(F.lit(0.5), since / cfg.recency_half_life_days)).otherwise(0.0),
         F.log1p(age),
         F.log1p(a["plays"]),
         share(artist_known, a["plays"]),

@@ -175,7 +175,7 @@ def _vector_sql(p: str, ms: str, pos: str, neg: str, ks: str, mt: str, first: st
 
     values = (
         f"CASE WHEN coalesce({p}, 0) > 0 THEN 1.0 ELSE 0.0 END", f"ln(1 + coalesce({p}, 0))", f"ln(1 + coalesce({ms}, 0))", share(f"{pos} + {neg}", p), share(pos, f"{pos} + {neg}"), share(neg, f"{pos} + {neg}"), share(ks, p), share(mt, ks),
-        f"coalesce(pow(0.5, greatest(0, ({t0} - {last}) / 86400000000.0) / 180.0), 0.0)", f"ln(1 + coalesce(greatest(0, ({t0} - {first}) / 86400000000.0), 0.0))", f"ln(1 + coalesce({ap}, 0))", share(f"{apos} + {aneg}", ap), share(apos, f"{apos} + {aneg}"),
+        f"CASE WHEN {last} IS NOT NULL THEN pow(0.5, greatest(0, ({t0} - {last}) / 86400000000.0) / 180.0) ELSE 0.0 END", f"ln(1 + coalesce(greatest(0, ({t0} - {first}) / 86400000000.0), 0.0))", f"ln(1 + coalesce({ap}, 0))", share(f"{apos} + {aneg}", ap), share(apos, f"{apos} + {aneg}"),
     )
     return ", ".join(f"round(round(CAST({v} AS DOUBLE), 8), 6) AS {n}" for v, n in zip(values, temporal.FEATURES, strict=True))
 

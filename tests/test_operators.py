@@ -76,7 +76,7 @@ def test_temporal(spark, mode):
     cfg = TemporalConfig(period_days=10, minimum_train_periods=2, artist_prior=mode)
     got = temporal.temporal_samples(period_events(spark), cfg).orderBy("track_id", "period_index").collect()
     one = [r for r in got if r.track_id == "t1"]
-    assert len(one) == 6 and one[0].prior_seen == 0 and one[1].prior_log_play_count == pytest.approx(0.69314718)
+    assert len(one) == 6 and one[0].prior_seen == one[0].prior_recency_score == 0 and one[1].prior_log_play_count == pytest.approx(0.69314718)
     assert one[4].label == 0 and [r.split for r in one] == ["train"] * 4 + ["validation", "test"]
     assert got[6].prior_artist_log_play_count == pytest.approx(math.log(2) if mode == "reference" else 0, abs=1e-8)
 
