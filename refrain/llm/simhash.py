@@ -14,7 +14,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Iterable, Iterator
 from itertools import combinations
-from math import comb
+from math import ceil, comb
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +22,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from refrain.llm.base import batch, cut, fresh, id_text, partitions, utf8
+from refrain.llm.base import batch, cut, drop_ids, fresh, id_text, join_few, partitions, utf8
+from refrain.llm.decontaminate import seed_hashes, word_hashes
 
 _BITS = (np.arange(256)[:, None] >> np.arange(8) & 1).astype(np.int64)
 _STEP = 1 << 16
@@ -165,11 +166,11 @@ def _blocks(m: int) -> list[tuple[int, int]]:
 _LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def links(fps: DataFrame, t: int, *, nearest: int = 0, agree: int | None = None) -> DataFrame:
+def links(fps: DataFrame, t: int, *, agree: int | None = None) -> DataFrame:
     """Links between distinct fingerprints (column fp, long) within ``t`` bits.
 
-    Each bucket gives links that span its classes (or for each fingerprint its
-    ``nearest`` neighbours), so a dense group costs links in proportion to its size.
+    Each bucket gives links that span its classes, so a dense group costs links in
+    proportion to its size.
     """
     if agree is None:
         n, agree = fps.count(), 1
@@ -191,7 +192,7 @@ def links(fps: DataFrame, t: int, *, nearest: int = 0, agree: int | None = None)
             return
         key, fp = (np.concatenate([p[i] for p in parts]) for i in range(2))
         index = GrayIndex(key, fp.view(np.uint64))
-        a, b = index.nearest(t, nearest) if nearest else index.forest(t)
+        a, b = index.forest(t)
         for i in range(0, len(a), 1 << 18):
             yield batch(_LINK, fp[a[i : i + (1 << 18)]], fp[b[i : i + (1 << 18)]])
 
@@ -218,22 +219,20 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-_FP = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64()), ("size", pa.int64())])
+_FP = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
 
 
-def fingerprints(docs: DataFrame, k: int, *, distinct: bool = False, sizes: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and fp of every whole text, and ``size``, its number of distinct
-    ``sizes``-word shingles (0 unless asked). Null counts as empty, whose fingerprint is 0."""
+def fingerprints(docs: DataFrame, k: int, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id and fp of every whole text. Null counts as empty, whose fingerprint is 0."""
 
     @fresh
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, at = utf8(b.column("text"))
-            made = np.fromiter((fingerprint(data[x:y].tobytes(), k, distinct) for x, y in zip(at, at[1:], strict=False)), dtype=np.uint64, count=len(at) - 1)
-            size = [len(shingles(data[x:y].tobytes(), sizes)) for x, y in zip(at, at[1:], strict=False)] if sizes else np.zeros(len(made), np.int64)
-            yield batch(_FP, b.column("doc_id"), made.view(np.int64), size)
+            made = np.fromiter((fingerprint(data[x:y].tobytes(), k) for x, y in zip(at, at[1:], strict=False)), dtype=np.uint64, count=len(at) - 1)
+            yield batch(_FP, b.column("doc_id"), made.view(np.int64))
 
-    return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long, size long")
+    return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
 
 
 def simhash_classes(docs: DataFrame, *, k: int = 4, t: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -245,7 +244,7 @@ def simhash_classes(docs: DataFrame, *, k: int = 4, t: int = 4, id_col: str = "d
     as empty; an empty table gives no rows; extra columns are ignored. Copies
     meet as one fingerprint before anything is compared.
     """
-    fps = cut(fingerprints(docs, k, id_col=id_col, text_col=text_col).select("doc_id", "fp"))
+    fps = cut(fingerprints(docs, k, id_col=id_col, text_col=text_col))
     distinct = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("first")))
     found = links(distinct.select("fp"), t)
     one = distinct.select(F.col("fp").alias("a"), F.col("first").alias("first_a"))
@@ -261,45 +260,257 @@ def shingles(text: bytes, k: int) -> set[bytes]:
     return {b" ".join(words[i : i + k]) for i in range(max(1, len(words) - k + 1))} if words else set()
 
 
-_VERDICT = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+#: Documents whose shingles are counted to tell the common ones, and how many of these are sent out.
+#: They only set the order of shingles, so they decide about cost and never about results.
+COUNTED, COMMON = 8_000, 1 << 16
+#: Documents that share a shingle and are paired outright; larger groups are linked along chains first.
+PAIRED = 16
+#: Bytes of the least sketch of a set; one has about a bit for each shingle, and a larger one folds to a smaller.
+SKETCH = 64
 
+_SET = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary()), ("size", pa.int32())])
+_HASH = pa.schema([("h", pa.int64())])
+_DEALT = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("size", pa.int32()), ("place", pa.int32())])
+_MET = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), ("size", pa.int32()), ("place", pa.int32())])
+_WHOLE = pa.schema([("doc_id", pa.int64()), ("hashes", pa.binary())])
+_SKETCH = pa.schema([("doc_id", pa.int64()), ("size", pa.int32()), ("sketch", pa.binary())])
 
-def near_duplicates(docs: DataFrame, *, k: int = 5, similarity: float = 0.8, t: int = 8, nearest: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+
+def shingle_hashes(text: bytes, k: int) -> np.ndarray:
+    """Sorted 64-bit hashes of a text's distinct k-word shingles; fewer words are one shingle."""
+    h = word_hashes(text.lower().split())
+    return np.unique(seed_hashes(h, "1" * min(k, len(h)))) if len(h) else np.zeros(0, np.uint64)
+
+
+def _sets(b: pa.RecordBatch, k: int) -> list[np.ndarray]:
+    data, at = utf8(b.column("text"))
+    return [shingle_hashes(data[x:y].tobytes(), k) for x, y in zip(at, at[1:], strict=False)]
+
+
+def _sketch(hashes: np.ndarray) -> bytes:
+    """Parities of the set's counts by some bits of the hash: two sets differ in at least as many shingles as their sketches in bits."""
+    bits = SKETCH * 8
+    while bits * 2 <= len(hashes):
+        bits *= 2
+    return np.packbits(np.bincount((hashes >> np.uint64(20)).astype(np.int64) & (bits - 1), minlength=bits).astype(np.uint8) & 1).tobytes()
+
+
+def _fold(sketch: np.ndarray, n: int) -> np.ndarray:
+    """The sketch that the same set has with ``n`` bytes."""
+    return np.bitwise_xor.reduce(sketch.reshape(-1, n), axis=0)
+
+
+def _needed(x: np.ndarray, y: np.ndarray, similarity: float) -> np.ndarray:
+    """Shingles that sets of these sizes share at least when they are similar."""
+    return np.ceil(similarity / (1 + similarity) * (x + y) - 1e-9)
+
+
+def _could(x: np.ndarray, y: np.ndarray, p: np.ndarray, q: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether sets of sizes x and y can be similar if the first shingle they share is at places p and q."""
+    return (np.minimum(x, y) >= similarity * np.maximum(x, y) - 1e-9) & (np.minimum(x - p, y - q) >= _needed(x, y, similarity))
+
+
+def _read(batches: Iterable[pa.RecordBatch], names: Iterable[str]) -> list[np.ndarray]:
+    parts = [[b.column(name).to_numpy(zero_copy_only=False) for name in names] for b in batches]
+    return [np.concatenate(x) for x in zip(*parts, strict=True)]
+
+
+def _distinct_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    low, high = np.minimum(a, b), np.maximum(a, b)
+    order = np.lexsort((high, low))
+    low, high = low[order], high[order]
+    new = np.concatenate([[True], (low[1:] != low[:-1]) | (high[1:] != high[:-1])])[: len(low)] & (low != high)
+    return low[new], high[new]
+
+
+def _meet(key: np.ndarray, doc: np.ndarray, size: np.ndarray, place: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs to verify, and a mask of the rows in groups that are too large to be paired outright."""
+
+    def steps(order: np.ndarray, most: int, within: np.ndarray) -> None:
+        k, d, x, p, w = key[order], doc[order], size[order], place[order], within[order]
+        for step in range(1, min(most, len(k) - 1) + 1):
+            i = np.flatnonzero((k[step:] == k[:-step]) & w[step:])
+            if not len(i):
+                break
+            i = i[_could(x[i], x[i + step], p[i], p[i + step], similarity)]
+            left.append(d[i])
+            right.append(d[i + step])
+
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    _, group, count = np.unique(key, return_inverse=True, return_counts=True)
+    large = count[group] > PAIRED
+    by_size = np.lexsort((doc, size, key))
+    steps(by_size, PAIRED - 1, ~large)
+    steps(by_size, 1, large)
+    with np.errstate(over="ignore"):
+        mixed = (doc ^ key).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    steps(np.lexsort((mixed ^ (mixed >> np.uint64(29)), key)), 2, large)
+    return *_distinct_pairs(np.concatenate(left), np.concatenate(right)), large
+
+
+def _across(size: np.ndarray, place: np.ndarray, label: np.ndarray, sketch: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of all pairs of one group with different labels that can be similar; rows come by size."""
+    end = np.searchsorted(size, np.floor(size / similarity + 1e-9), side="right")
+    for i in range(len(size)):
+        j = np.arange(i + 1, end[i])
+        j = j[label[j] != label[i]]
+        j = j[_could(size[i], size[j], place[i], place[j], similarity)]
+        apart = np.bitwise_count(sketch[j] ^ sketch[i]).sum(1, dtype=np.int64)
+        j = j[apart <= size[i] + size[j] - 2 * _needed(size[i], size[j], similarity)]
+        if len(j):
+            yield np.full(len(j), i), j
+
+
+def near_duplicates(docs: DataFrame, *, k: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Documents whose k-word shingles are alike: doc_id and component_id of those with a partner.
 
-    Candidates are each bucket's ``nearest`` fingerprints over distinct words (which a few
-    changed words move less than fingerprints over shingles) within ``t`` bits,
-    and the first document with an equal fingerprint. A candidate pair is linked
-    if the Jaccard similarity of its sets of k-word shingles is at least
-    ``similarity``. Texts without words are alike. Null texts count as empty.
+    Two documents are linked if the Jaccard similarity of their sets of k-word
+    shingles (as 64-bit hashes) is at least ``similarity``; the components are
+    those of all such links. Texts without words are alike. Null texts count as
+    empty; rows with a null id are left out.
+
+    Equal sets meet by digest, and one document stands for them. With all sets in
+    one order, similar sets share a shingle among the first n - ceil(similarity n) + 1
+    of n (the prefix filter), so documents are dealt out by those, rare ones first.
+    Up to ``PAIRED`` documents that share one are paired outright. A larger group
+    is linked along chains, and then all its pairs that those verified links have
+    not joined are tried unless their sizes, places or sketches rule them out.
     """
-    texts = id_text(docs, id_col, text_col)
-    fps = cut(fingerprints(texts, 1, distinct=True, sizes=k))
-    distinct = cut(fps.groupBy("fp").agg(F.min(F.struct("doc_id", "size")).alias("f")).select("fp", "f.doc_id", "f.size"))
-    near = links(distinct.select("fp"), t, nearest=nearest)
-
-    def side(df: DataFrame, name: str) -> DataFrame:
-        return df.select(F.col("fp").alias(f"fp_{name}"), F.col("doc_id").alias(name), F.col("size").alias(f"size_{name}"))
-
-    other = near.select(F.col("a").alias("fp_a"), F.col("b").alias("fp_b")).join(side(distinct, "a"), "fp_a").join(side(distinct, "b"), "fp_b")
-    same = side(fps, "a").join(side(distinct, "b"), F.col("fp_a") == F.col("fp_b")).filter("a <> b")
-    columns = ("a", "b", "size_a", "size_b")
-    pairs = other.select(*columns).unionByName(same.select(*columns))
-    # The similarity of two sets is at most the quotient of their sizes.
-    pairs = pairs.filter(F.least("size_a", "size_b") >= similarity * F.greatest("size_a", "size_b"))
-    pairs = cut(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    texts = id_text(docs, id_col, text_col).filter("doc_id IS NOT NULL")
+
+    @fresh
+    def summarise(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = _sets(b, k)
+            yield batch(_SET, b.column("doc_id"), [xxhash.xxh3_128_digest(s.tobytes()) for s in sets], [len(s) for s in sets])
+
+    made = cut(texts.mapInArrow(summarise, "doc_id long, digest binary, size int"))
+    stands = cut(made.join(made.groupBy("digest").agg(F.min("doc_id").alias("first")), "digest").select("doc_id", "first"))
+    same = stands.filter("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
+    texts = drop_ids(texts, stands.groupBy("doc_id").agg(F.bool_or(F.col("doc_id") == F.col("first")).alias("is_first")).filter("NOT is_first"))
+
+    @fresh
+    def hashes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield batch(_HASH, np.concatenate([*_sets(b, k), np.zeros(0, np.uint64)]).view(np.int64))
+
+    every = max(1, made.count() // COUNTED)
+    counted = texts.filter(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).mapInArrow(hashes, "h long").groupBy("h").count().filter("count > 3")
+    top = counted.orderBy(F.desc("count"), "h").limit(COMMON).collect()
+    common = np.array([r.h for r in top], dtype=np.int64).view(np.uint64)
+    often = np.array([r["count"] for r in top], dtype=np.int64)[np.argsort(common)]
+    common = np.sort(common)
+
+    @fresh
+    def deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            prefixes, docs, sizes = [], b.column("doc_id").to_numpy(), []
+            for s in _sets(b, k):
+                n = len(s) - ceil(similarity * len(s) - 1e-9) + 1
+                if len(common) and len(s):
+                    at = np.minimum(np.searchsorted(common, s), len(common) - 1)
+                    weight = np.where(common[at] == s, often[at], 0)
+                    if weight.any():
+                        s = s[np.lexsort((s, weight))]
+                prefixes.append(s[: n if n > 1 else 0])  # so few shingles are similar only if equal
+                sizes.append(len(s))
+            n = np.array([len(p) for p in prefixes], dtype=np.int64)
+            place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            yield batch(_DEALT, np.concatenate([*prefixes, np.zeros(0, np.uint64)]).view(np.int64), np.repeat(docs, n), np.repeat(np.array(sizes, dtype=np.int32), n), place.astype(np.int32))
+
+    @fresh
+    def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns = _read(batches, _DEALT.names)
+        if not columns:
+            return
+        key, doc, size, place = columns
+        a, b, large = _meet(key, doc, size, place, similarity)
+        none = pa.nulls(len(a), pa.int64())
+        yield batch(_MET, a, b, none, none.cast(pa.int32()), none.cast(pa.int32()))
+        yield batch(_MET, doc[large], pa.nulls(int(large.sum()), pa.int64()), key[large], size[large], place[large])
+
+    n = partitions(docs.sparkSession)
+    dealt = texts.mapInArrow(deal, "key long, doc_id long, size int, place int").repartition(n, "key")
+    met = cut(dealt.mapInArrow(meet, "a long, b long, key long, size int, place int"))
+    pairs = met.filter("b IS NOT NULL").select("a", "b").distinct()
+    large = met.filter("b IS NULL")
+
+    @fresh
+    def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = _sets(b, k)
+            yield batch(_WHOLE, b.column("doc_id"), [s.tobytes() for s in sets], [_sketch(s) for s in sets])
+
+    def either(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).filter("doc_id IS NOT NULL").distinct()
+
+    @fresh
+    def outline(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = _sets(b, k)
+            yield batch(_SKETCH, b.column("doc_id"), [len(s) for s in sets], [_sketch(s) for s in sets])
+
+    sketches = cut(join_few(texts, either(met), "doc_id").select("doc_id", "text").mapInArrow(outline, "doc_id long, size int, sketch binary"))
+
+    @fresh
+    def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield batch(_WHOLE, b.column("doc_id"), [s.tobytes() for s in _sets(b, k)])
+
+    @fresh
+    def sift(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            (x, xs), (y, ys) = utf8(b.column("sketch_a")), utf8(b.column("sketch_b"))
+            m, n = (b.column(c).to_numpy().astype(np.int64) for c in ("size_a", "size_b"))
+            apart = np.zeros(b.num_rows, np.int64)
+            for i in range(b.num_rows):
+                s, u = x[xs[i] : xs[i + 1]], y[ys[i] : ys[i + 1]]
+                least = min(len(s), len(u))
+                apart[i] = np.bitwise_count(_fold(s, least) ^ _fold(u, least)).sum(dtype=np.int64)
+            mask = pa.array(apart <= m + n - 2 * _needed(m, n, similarity))
+            yield batch(_LINK, b.column("a").filter(mask), b.column("b").filter(mask))
 
     @fresh
     def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            (x, xs), (y, ys) = utf8(b.column("text_a")), utf8(b.column("text_b"))
-            keep = []
+            (x, xs), (y, ys) = utf8(b.column("hashes_a")), utf8(b.column("hashes_b"))
+            good = []
             for i in range(b.num_rows):
-                s, u = shingles(x[xs[i] : xs[i + 1]].tobytes(), k), shingles(y[ys[i] : ys[i + 1]].tobytes(), k)
-                keep.append(len(s & u) >= similarity * len(s | u))
-            mask = pa.array(keep, type=pa.bool_())
-            yield batch(_VERDICT, b.column("a").filter(mask), b.column("b").filter(mask))
-
-    with_a = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-    with_both = with_a.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    return components(with_both.select("a", "b", "text_a", "text_b").mapInArrow(verify, "a long, b long")).select(F.col("node").alias("doc_id"), F.col("component").alias("component_id"))
+                s, u = x[xs[i] : xs[i + 1]].view(np.uint64), y[ys[i] : ys[i + 1]].view(np.uint64)
+                both = len(np.intersect1d(s, u, assume_unique=True))
+                good.append(both >= similarity * (len(s) + len(u) - both))
+            mask = pa.array(good, type=pa.bool_())
+            yield batch(_LINK, b.column("a").filter(mask), b.column("b").filter(mask))
+
+    def both_sides(pairs: DataFrame, df: DataFrame) -> DataFrame:
+        for name in ("a", "b"):
+            pairs = pairs.join(df.select(F.col("doc_id").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in df.columns if c != "doc_id")), name)
+        return pairs
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        likely = cut(both_sides(pairs, sketches).mapInArrow(sift, "a long, b long").distinct())
+        sets = cut(join_few(texts, either(likely), "doc_id").select("doc_id", "text").mapInArrow(keep, "doc_id long, hashes binary"))
+        return cut(both_sides(likely, sets).mapInArrow(verify, "a long, b long"))
+
+    @fresh
+    def across(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns = _read(batches, ("key", "a", "size", "place", "label", "sketch"))
+        if not columns:
+            return
+        order = np.lexsort((columns[1], columns[2], columns[0]))
+        key, doc, size, place, label, sketch = (c[order] for c in columns)
+        sketch = np.stack([_fold(np.frombuffer(x, dtype=np.uint8), SKETCH) for x in sketch]).view(np.uint64)
+        cuts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
+        for x, y in zip(cuts[:-1], cuts[1:], strict=True):
+            if (label[x:y] == label[x]).all():
+                continue
+            for i, j in _across(size[x:y].astype(np.int64), place[x:y].astype(np.int64), label[x:y], sketch[x:y], similarity):
+                yield batch(_LINK, np.minimum(doc[x + i], doc[x + j]), np.maximum(doc[x + i], doc[x + j]))
+
+    found = verified(pairs)
+    if large.limit(1).count():
+        labelled = large.join(components(found).select(F.col("node").alias("a"), "component"), "a", "left").withColumn("label", F.coalesce("component", "a"))
+        labelled = labelled.join(sketches.select(F.col("doc_id").alias("a"), "sketch"), "a").select("key", "a", "size", "place", "label", "sketch")
+        rest = cut(labelled.repartition(n, "key").mapInArrow(across, "a long, b long").distinct())
+        found = found.unionByName(verified(rest))
+    return components(same.unionByName(found)).select(F.col("node").alias("doc_id"), F.col("component").alias("component_id"))

@@ -1,6 +1,7 @@
 """Each operator against brute force, an exact round trip or held-out accuracy, and on odd tables."""
 
 import hashlib
+import itertools
 import os
 import re
 from collections import Counter
@@ -377,6 +378,36 @@ def test_near_duplicates(spark):
     assert {r.doc_id: r.component_id for r in simhash.near_duplicates(docs(spark, rows)).collect()} == {10: 3, 3: 3, 6: 6, 7: 6}
 
 
+def near_groups(rows):
+    """Components of the brute-force pairs of similarity 0.8, as near_duplicates gives them."""
+    sets = [simhash.shingles(text.encode(), 5) for _, text, _ in rows]
+    pairs = [(j, i) for i in range(len(rows)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    label = simhash._union(np.arange(len(rows)), *np.array(pairs, dtype=int).reshape(-1, 2).T)
+    return {rows[i][0]: rows[label[i]][0] for i in sorted({x for pair in pairs for x in pair})}
+
+
+def numbered(made):
+    return [(i, " ".join(words), None) for i, words in enumerate(made)]
+
+
+def found_groups(spark, rows):
+    return {r.doc_id: r.component_id for r in simhash.near_duplicates(docs(spark, rows)).collect()}
+
+
+def changed(rng, base, n):
+    out = list(base)
+    for i in rng.choice(len(base), n, replace=False):
+        out[i] = f"x{rng.integers(10**6)}"
+    return out
+
+
+def test_near_duplicates_are_not_crowded_out(spark):
+    rng = np.random.default_rng(11)
+    base = [f"w{x}" for x in rng.integers(0, 5000, 100)]
+    rows = numbered(changed(rng, base, 2) for _ in range(300))
+    assert found_groups(spark, rows) == near_groups(rows)
+
+
 def test_simhash_odd(odd, empty):
     got = {r.doc_id: r.component_id for r in simhash.simhash_classes(odd).collect()}
     assert got[1] == got[2] == got[5] == 1 and got[3] == got[6] == 3 and got[7] == 7
