@@ -408,6 +408,18 @@ def test_near_duplicates_are_not_crowded_out(spark):
     assert found_groups(spark, rows) == near_groups(rows)
 
 
+def test_near_duplicates_of_one_word_set(spark):
+    # All texts have the same distinct words; the first is like none, each other one like its neighbour.
+    rng = np.random.default_rng(12)
+    words = [f"w{i}" for i in range(60)]
+    made = [rng.permutation(words).tolist()]
+    for _ in range(30):
+        one = rng.permutation(words).tolist()
+        made += [one, [*one[1:], one[0]]]
+    rows = numbered(made)
+    assert len(near_groups(rows)) == 60 and found_groups(spark, rows) == near_groups(rows)
+
+
 def test_simhash_odd(odd, empty):
     got = {r.doc_id: r.component_id for r in simhash.simhash_classes(odd).collect()}
     assert got[1] == got[2] == got[5] == 1 and got[3] == got[6] == 3 and got[7] == 7
