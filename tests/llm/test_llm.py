@@ -420,6 +420,17 @@ def test_near_duplicates_of_one_word_set(spark):
     assert len(near_groups(rows)) == 60 and found_groups(spark, rows) == near_groups(rows)
 
 
+def test_near_duplicates_with_a_tail(spark):
+    rng = np.random.default_rng(13)
+    made = []
+    for n in (40, 60, 100, 200, 400, 1000):
+        for _ in range(20):
+            one = [f"w{x}" for x in rng.integers(0, 5000, n)]
+            made += [one, one[: int(0.83 * n) + 1]]
+    rows = numbered(made)
+    assert len(near_groups(rows)) > 200 and found_groups(spark, rows) == near_groups(rows)
+
+
 def test_simhash_odd(odd, empty):
     got = {r.doc_id: r.component_id for r in simhash.simhash_classes(odd).collect()}
     assert got[1] == got[2] == got[5] == 1 and got[3] == got[6] == 3 and got[7] == 7
