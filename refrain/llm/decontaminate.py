@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 
 from refrain.llm.base import batch, fresh, id_text, utf8
 
-#: Masks over nine or ten words, seven of them marked; differing words can fall into the gaps.
-MASKS = ("1111111", "110110111", "1110101011", "1011011101")
+#: Masks over eight to eleven words, seven of them marked; differing words can fall into the gaps.
+#: Wherever two of ``OVERLAP`` words differ, the most that ``AGREE`` allows, one of these fits between (tested by enumeration).
+MASKS = ("11110111", "1110110011", "11010010111")
 #: An overlap's length in words, and the share of its words that must agree.
 OVERLAP, AGREE = 13, 0.8
 #: Test words whose whole index (about 60 bytes a word) may be sent to the executors.
@@ -152,7 +153,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, masks: tuple[str, ..
 
     Returns doc_id, item_id, first_word, n_words, agreement: one row for each
     item and diagonal with a window of ``overlap`` words of which a share of
-    ``agree`` are equal and a seed hits. Items shorter than ``overlap`` words
+    ``agree`` are equal and a seed hits, as one always does with the default masks,
+    overlap and share. Items shorter than ``overlap`` words
     count where they stand whole. Texts or items that are null, empty or without
     words overlap nothing; repeated documents or items each give their rows;
     extra columns are ignored.

@@ -129,6 +129,20 @@ def test_seed_hits_match_brute_force():
     assert got == want
 
 
+def test_masks_hit_every_window_that_agrees():
+    rng = np.random.default_rng(3)
+    item = syllables(rng, 13).split()
+    index = decontaminate.TestIndex.build([(1, " ".join(item).encode())])
+    for spots in itertools.combinations(range(13), 2):
+        text = [f"x{i}".encode() if i in spots else w.encode() for i, w in enumerate(item)]
+        assert index.overlaps(text) == [(1, 0, 13, 11 / 13)], spots
+    item = [f"w{i}" for i in range(60)]
+    index = decontaminate.TestIndex.build([(1, " ".join(item).encode())])
+    for first in range(5):
+        text = [b"x" if i % 5 == first else w.encode() for i, w in enumerate(item)]
+        assert len(index.overlaps(text)) == 1
+
+
 def test_decontamination_odd(spark, odd, empty):
     bench = spark.createDataFrame([(1, "word " * 20), (1, "word " * 20)], "item_id long, text string")
     assert {r.doc_id for r in decontaminate.contamination(odd, bench).collect()} == {4}
