@@ -15,8 +15,11 @@ a state table over its bound is dropped and made again as needed.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
+from array import array
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +33,8 @@ MAX_STATES = 250_000
 MAX_PIECES = 320_000
 #: Pieces over this length go through the transducer each time.
 MAX_CACHED_PIECE = 64
-#: Texts whose results are sent back at once.
-ROWS = 1000
+#: Texts whose results are sent back at once; letters, or pieces of a longer text, that are encoded at once.
+ROWS, SLAB = 1000, 1 << 18
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -176,31 +179,50 @@ class Transducer:
 
 
 class Encoder:
-    """Splits text by a pattern and encodes every piece by the transducer."""
+    """Splits text by a pattern and encodes every piece by the transducer.
+
+    Most pieces of natural text have come before, so results are remembered for
+    each piece, as the bytes of its ids; the transducer reads those that are new.
+    """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, max_states: int = MAX_STATES, max_pieces: int = MAX_PIECES):
         self.transducer, self.pattern, self.max_pieces = Transducer(ranks, max_states), regex.compile(pattern), max_pieces
         # Two generations: a full one becomes the old one, from which pieces still in use come back.
-        self._kept: dict[str, tuple[tuple[int, ...], str]] = {}
-        self._old: dict[str, tuple[tuple[int, ...], str]] = {}
+        self._kept: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
 
-    def _piece(self, piece: str) -> tuple[tuple[int, ...], str]:
-        made = self._old.get(piece)
+    def _piece(self, piece: str) -> bytes:
+        made = self._kept.get(piece) or self._old.get(piece)
         if made is None:
-            ids = tuple(self.transducer.encode_piece(piece.encode()))
-            made = (ids, " ".join(map(str, ids)))
+            made = array("i", self.transducer.encode_piece(piece.encode())).tobytes()
         if len(piece) <= MAX_CACHED_PIECE:
             if len(self._kept) >= self.max_pieces:
                 self._old, self._kept = self._kept, {}
             self._kept[piece] = made
         return made
 
-    def pieces(self, text: str) -> list[tuple[tuple[int, ...], str]]:
-        """The ids of every piece, also as decimal text."""
-        return [self._kept.get(piece) or self._piece(piece) for piece in self.pattern.findall(text)]
+    def _ids(self, pieces: list[str]) -> np.ndarray:
+        made: list[bytes | None] = list(map(self._kept.get, pieces))
+        at = -1
+        try:
+            while True:
+                at = made.index(None, at + 1)
+                made[at] = self._piece(pieces[at])
+        except ValueError:  # no piece left
+            pass
+        return np.frombuffer(b"".join(made), dtype=np.int32)
+
+    def stream(self, text: str) -> Iterator[np.ndarray]:
+        """The ids of a text, ``SLAB`` letters or pieces at a time."""
+        if len(text) <= SLAB:
+            yield self._ids(self.pattern.findall(text))
+            return
+        pieces = (m.group() for m in self.pattern.finditer(text))
+        while slab := list(islice(pieces, SLAB)):
+            yield self._ids(slab)
 
     def encode(self, text: str) -> list[int]:
-        return [i for ids, _ in self.pieces(text) for i in ids]
+        return [i for ids in self.stream(text) for i in ids.tolist()]
 
 
 class Utf8Stream:
@@ -260,19 +282,20 @@ class Decoder:
         index = np.arange(ends[-1]) + np.repeat(self._at[ids] - (ends - size), size)
         return self._blob[index].tobytes()
 
-    def stream(self, ids: np.ndarray, step: int = 1 << 16) -> Iterator[str]:
+    def stream(self, slabs: Iterable[np.ndarray]) -> Iterator[str]:
         utf8_stream = Utf8Stream()
-        for i in range(0, len(ids), step):
-            yield utf8_stream.feed(self.to_bytes(ids[i : i + step]))
+        for ids in slabs:
+            yield utf8_stream.feed(self.to_bytes(ids))
         utf8_stream.close()
 
 
 _DIGESTS = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 _IDS = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
 
-def _codec(path: str, pattern: str, max_states: int, max_pieces: int) -> tuple[Encoder, Decoder]:
+
+def _codec(path: str, pattern: str, max_states: int, max_pieces: int) -> tuple[Encoder, Decoder, list[str]]:
     ranks = load_ranks(path)
-    return Encoder(ranks, pattern, max_states, max_pieces), Decoder(ranks)
+    return Encoder(ranks, pattern, max_states, max_pieces), Decoder(ranks), [str(i) for i in range(max(ranks.values(), default=-1) + 1)]
 
 
 def _texts(column: pa.Array) -> Iterator[str]:
@@ -281,36 +304,63 @@ def _texts(column: pa.Array) -> Iterator[str]:
         yield data[a:b].tobytes().decode("utf-8", "replace")
 
 
+class _Digests:
+    """Digests of a text's ids and of what they decode to, both fed slab by slab."""
+
+    def __init__(self, encoder: Encoder, decoder: Decoder, decimals: list[str]):
+        self.encoder, self.decoder, self.decimals = encoder, decoder, decimals
+
+    def __call__(self, text: str) -> tuple[int, str, str]:
+        n, ids_sha, text_sha = 0, hashlib.sha256(), hashlib.sha256()
+
+        def slabs() -> Iterator[np.ndarray]:
+            nonlocal n
+            for ids in self.encoder.stream(text):
+                if len(ids):
+                    ids_sha.update((b" " if n else b"") + " ".join(map(self.decimals.__getitem__, ids.tolist())).encode())
+                    n += len(ids)
+                    yield ids
+
+        for part in self.decoder.stream(slabs()):
+            text_sha.update(part.encode())
+        return n, ids_sha.hexdigest(), text_sha.hexdigest()
+
+
 def encode_decode(docs: DataFrame, path: str, pattern: str, *, digests: bool = False, max_states: int = MAX_STATES, max_pieces: int = MAX_PIECES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode every text by the ranks file at ``path`` and decode it again.
 
     Returns doc_id, ids array<int>, decoded string; with ``digests`` instead
     doc_id, n_tokens, ids_sha256 (of decimal ids joined by a space) and
-    decoded_sha256, so that ids needn't leave the task that made them. A null or
-    empty text has no tokens. Repeated rows and ids each return a row; extra
-    columns are ignored. Long texts stream through piece by piece. No shuffle:
-    each task reads its texts once, and a lost executor's tasks just run again.
-    A worker's tables take about 0.4 kB a piece (of which two bounds' worth are
+    decoded_sha256, so that ids needn't leave the task that made them; then ids
+    and decoded bytes of a long text are held a slab at a time. A null or empty
+    text has no tokens. Repeated rows and ids each return a row; extra columns
+    are ignored. No shuffle: each task reads its texts once, and a lost
+    executor's tasks just run again.
+
+    Pieces met before are answered from a table, others by the transducer. A
+    worker's tables take about 0.2 kB a piece (of which two bounds' worth are
     kept) and 0.7 kB a state; smaller bounds trade time for memory, never results.
     """
 
     key = (path, pattern, max_states, max_pieces)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, decoder = kept(key, lambda: _codec(*key))
-        for b in (whole.slice(i, ROWS) for whole in batches for i in range(0, whole.num_rows, ROWS)):
-            rows: list[tuple] = []
-            for text in _texts(b.column("text")):
-                made = encoder.pieces(text)
-                ids = np.fromiter((i for x in made for i in x[0]), dtype=np.int32)
-                if not digests:
-                    rows.append((ids, "".join(decoder.stream(ids))))
+        encoder, decoder, decimals = kept(key, lambda: _codec(*key))
+        digest = _Digests(encoder, decoder, decimals)
+        gc.disable()  # the tables have no cycles, and going through them takes long
+        try:
+            for b in (whole.slice(i, ROWS) for whole in batches for i in range(0, whole.num_rows, ROWS)):
+                texts = _texts(b.column("text"))
+                if digests:
+                    rows = list(map(digest, texts))
+                    yield batch(_DIGESTS, b.column("doc_id"), *([r[i] for r in rows] for i in range(3)))
                     continue
-                sha = hashlib.sha256()
-                for part in decoder.stream(ids):
-                    sha.update(part.encode())
-                rows.append((len(ids), hashlib.sha256(" ".join([x[1] for x in made]).encode()).hexdigest(), sha.hexdigest()))
-            yield batch(_DIGESTS if digests else _IDS, b.column("doc_id"), *([r[i] for r in rows] for i in range(3 if digests else 2)))
+                made = [np.concatenate([*encoder.stream(text), np.zeros(0, np.int32)]) for text in texts]
+                ends = np.cumsum([0, *map(len, made)])
+                ids = pa.ListArray.from_arrays(pa.array(ends, type=pa.int32()), pa.array(np.concatenate([*made, np.zeros(0, np.int32)])))
+                yield batch(_IDS, b.column("doc_id"), ids, ["".join(decoder.stream([m])) for m in made])
+        finally:
+            gc.enable()
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "doc_id long, ids array<int>, decoded string"
     return id_text(docs, id_col, text_col).mapInArrow(run, schema)
