@@ -160,11 +160,11 @@ def unpack(blob: bytes, *dtypes) -> tuple[list[np.ndarray], int]:
     return out, at
 
 
-_RUN = (np.int64, np.int64, np.uint32, np.uint32, np.uint64)  # doc, twin, start, count, key
+_RUN = (np.int64, np.int64, np.uint32, np.uint32, np.uint64, np.uint8)  # doc, twin, start, count, key, whether the key's gram repeats
 _SPAN = _RUN[:4]
 _SHARD = pa.schema([("shard", pa.int32()), ("kind", pa.int32()), ("blob", pa.binary())])
 _SHARD_DDL = "shard int, kind int, blob binary"
-_ROWS_RUN = pa.schema([("doc_id", pa.int64()), ("twin", pa.int64()), ("start", pa.int64()), ("n", pa.int64()), ("key", pa.int64())])
+_ROWS_RUN = pa.schema([("doc_id", pa.int64()), ("twin", pa.int64()), ("start", pa.int64()), ("n", pa.int64()), ("key", pa.int64()), ("repeats", pa.int64())])
 _ROWS_SPAN = pa.schema(list(_ROWS_RUN)[:4])
 _JUDGE, _PASS = 0, 1
 
@@ -188,7 +188,7 @@ def _blobs(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, bytes]]:
 
 
 def candidates(texts: DataFrame, units: Units) -> DataFrame:
-    """doc_id, twin, start, n, key of each run whose key occurs in another run as well."""
+    """doc_id, twin, start, n, key, repeats of each run whose key occurs in another run, or more than once in this one."""
     tasks = partitions(texts.sparkSession)
     shards = tasks * SHARDS
 
@@ -199,11 +199,11 @@ def candidates(texts: DataFrame, units: Units) -> DataFrame:
             for row, _, data, at in text_chunks(b.column("text")):
                 text, start, count, key, repeats = units.runs(data, at)
                 if len(text):
-                    found.append((ids[row + text], twins[row + text], start.astype(np.uint32), count.astype(np.uint32), key, repeats & units.within))
+                    found.append((ids[row + text], twins[row + text], start.astype(np.uint32), count.astype(np.uint32), key, (repeats & units.within).view(np.uint8)))
             if not found:
                 continue
-            *columns, repeats = [np.concatenate([f[i] for f in found]) for i in range(6)]
-            key = columns[4]
+            columns = [np.concatenate([f[i] for f in found]) for i in range(6)]
+            key, repeats = columns[4], columns[5].astype(bool)
             order = np.argsort(key, kind="stable")
             sorted_key = key[order]
             new = np.concatenate([[True], sorted_key[1:] != sorted_key[:-1]])
@@ -231,7 +231,7 @@ def candidates(texts: DataFrame, units: Units) -> DataFrame:
                 judged.append(columns)
         if not judged:
             return
-        columns = [np.concatenate([c[i] for c in judged]) for i in range(5)]
+        columns = [np.concatenate([c[i] for c in judged]) for i in range(6)]
         judged.clear()
         order = np.argsort(columns[4], kind="stable")
         key = columns[4][order]
@@ -240,7 +240,7 @@ def candidates(texts: DataFrame, units: Units) -> DataFrame:
         keep = order[(same[1:] | same[:-1]) & (columns[3][order] > 0)]
         yield from _rows(_ROWS_RUN, [c[keep] for c in columns])
 
-    return texts.mapInArrow(find, _SHARD_DDL).repartition(tasks, "shard").mapInArrow(meet, "doc_id long, twin long, start long, n long, key long")
+    return texts.mapInArrow(find, _SHARD_DDL).repartition(tasks, "shard").mapInArrow(meet, "doc_id long, twin long, start long, n long, key long, repeats long")
 
 
 #: A shard's judge: contexts in order of their places, their windows and documents; yields (context, first window, windows) that start earlier elsewhere.
@@ -259,8 +259,8 @@ def earlier(texts: DataFrame, units: Units, judge: Judge) -> DataFrame:
     """doc_id, twin, start, n: runs of windows that also start earlier."""
     tasks = partitions(texts.sparkSession)
     shards = tasks * SHARDS
-    found = candidates(texts, units).groupBy("doc_id", "twin").agg(F.collect_list(F.struct("start", "n", "key")).alias("runs"))
-    joined = texts.join(found, ["doc_id", "twin"]).select("doc_id", "twin", "text", F.col("runs.start").alias("start"), F.col("runs.n").alias("n"), F.col("runs.key").alias("key"))
+    found = candidates(texts, units).groupBy("doc_id", "twin").agg(F.collect_list(F.struct("start", "n", "key", "repeats")).alias("runs"))
+    joined = texts.join(found, ["doc_id", "twin"]).select("doc_id", "twin", "text", *(F.col(f"runs.{c}").alias(c) for c in ("start", "n", "key", "repeats")))
 
     @fresh
     def cut_out(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,11 +271,11 @@ def earlier(texts: DataFrame, units: Units, judge: Judge) -> DataFrame:
             bodies: list[bytes] = []
             covered: list[tuple[int, int, int, int]] = []
             ids, twins = b.column("doc_id").to_pylist(), b.column("twin").to_pylist()
-            places = [b.column(c) for c in ("start", "n", "key")]
+            places = [b.column(c) for c in ("start", "n", "key", "repeats")]
             for row in np.lexsort((twins, ids)).tolist():
-                start, n, key = (p[row].values.to_numpy() for p in places)
+                start, n, key, repeats = (p[row].values.to_numpy() for p in places)
                 _, one = np.unique(start, return_index=True)
-                start, n, key = start[one], n[one], key[one]
+                start, n, key, repeats = start[one], n[one], key[one], repeats[one]
                 keep = np.zeros(len(start), dtype=bool)
                 for i, context in enumerate(_contexts(data[at[row] : at[row + 1]].tobytes(), units, start, n)):
                     place = (ids[row], twins[row], int(start[i]))
@@ -285,18 +285,19 @@ def earlier(texts: DataFrame, units: Units, judge: Judge) -> DataFrame:
                         bodies.append(context)
                     elif before != place:
                         covered.append((*place, int(n[i])))
-                told.append([np.full(keep.sum(), ids[row]), np.full(keep.sum(), twins[row]), start[keep].astype(np.uint32), n[keep].astype(np.uint32), key[keep].view(np.uint64)])
+                told.append([np.full(keep.sum(), ids[row]), np.full(keep.sum(), twins[row]), start[keep].astype(np.uint32), n[keep].astype(np.uint32), key[keep].view(np.uint64), repeats[keep].astype(np.uint8)])
             held.clear()
             out: list[tuple[int, int, bytes]] = []
             if told:
-                columns = [np.concatenate([t[i] for t in told]) for i in range(5)]
+                columns = [np.concatenate([t[i] for t in told]) for i in range(6)]
+                mark = (columns[4] >> np.uint64(32)).astype(np.uint32)  # enough to tell keys apart within a shard
                 size = np.fromiter(map(len, bodies), dtype=np.uint32, count=len(bodies))
                 shard = (columns[4] % np.uint64(shards)).astype(np.int64)
                 order = np.argsort(shard, kind="stable")
                 cuts = np.flatnonzero(np.concatenate([[True], shard[order][1:] != shard[order][:-1]])) if len(order) else []
                 for x, y in zip(cuts, [*cuts[1:], len(order)], strict=True):
                     mine = order[x:y]
-                    out.append((int(shard[mine[0]]), _JUDGE, pack(*(c[mine] for c in columns[:4]), size[mine]) + b"".join([bodies[i] for i in mine])))
+                    out.append((int(shard[mine[0]]), _JUDGE, pack(*(c[mine] for c in (*columns[:4], mark, columns[5], size))) + b"".join([bodies[i] for i in mine])))
             if covered:
                 columns = [np.array(c, dtype=d) for c, d in zip(zip(*covered, strict=True), _SPAN, strict=True)]
                 out += _dealt(columns, columns[0] % shards, _PASS)
@@ -319,11 +320,11 @@ def earlier(texts: DataFrame, units: Units, judge: Judge) -> DataFrame:
         places, bodies = [], []
         while blobs:
             blob = blobs.pop()
-            columns, at = unpack(blob, *_SPAN, np.uint32)
-            ends = at + np.cumsum(columns[4], dtype=np.int64)
-            bodies += [blob[e - s : e] for s, e in zip(columns[4].tolist(), ends.tolist(), strict=True)]
-            places.append(columns[:4])
-        doc, twin, start, n = (np.concatenate([p[i] for p in places]) for i in range(4))
+            columns, at = unpack(blob, *_SPAN, np.uint32, np.uint8, np.uint32)
+            ends = at + np.cumsum(columns[6], dtype=np.int64)
+            bodies += [blob[e - s : e] for s, e in zip(columns[6].tolist(), ends.tolist(), strict=True)]
+            places.append(columns[:6])
+        doc, twin, start, n, mark, repeats = (np.concatenate([p[i] for p in places]) for i in range(6))
         order = np.lexsort((start, twin, doc))
         # Of equal contexts the first is judged, or all of the first document; others start earlier there.
         held: dict[bytes, int] = {}
@@ -342,6 +343,11 @@ def earlier(texts: DataFrame, units: Units, judge: Judge) -> DataFrame:
         held.clear()
         yield from _rows(_ROWS_SPAN, [c[again] for c in (doc, twin, start, n)])
         order = order[first[order]]
+        # A key with one context left has nothing to be judged against but itself.
+        _, group, size = np.unique(mark[order], return_inverse=True, return_counts=True)
+        order = order[(size[group] > 1) | (repeats[order] > 0)]
+        if not len(order):
+            return
         for context, offset, count in judge([bodies[i] for i in order.tolist()], n[order].tolist(), doc[order]):
             at = order[context]
             yield from _rows(_ROWS_SPAN, [doc[at], twin[at], start[at].astype(np.int64) + offset, count])
