@@ -1,21 +1,23 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-Terms are whole words and word beginnings, chosen for how much oftener toxic
-examples have them. Labelled examples with any term make a block-max inverted
-index: postings by block of examples, with each term's largest weight in the
-block. A query visits blocks by their upper bound and stops once no block can
-change its nearest ``k``, so the result is that of a full scan. Votes weighted
-by distance are calibrated by isotonic regression on the examples themselves,
-each voted on by the others, and come with the neighbours as evidence.
+Terms are all words of the examples and their beginnings of ``PREFIX`` letters.
+A term's inverse document frequency is scaled by how surely its rate differs
+between the labels, with a floor, so that every term counts and telling ones
+count most. The examples make a block-max inverted index: each block has its own
+postings, and each term's largest weight in the block. A query visits blocks by
+their upper bound and stops once no block can change its nearest ``k``, so the
+result is that of a full scan. Votes weighted by distance are calibrated by
+isotonic regression on the examples themselves, each voted on by the others, and
+come with the neighbours as evidence.
 """
 
 from __future__ import annotations
 
+import gc
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -24,53 +26,18 @@ from pyspark.sql import functions as F
 
 from refrain.llm.base import batch, fit_rows, fresh, id_text, join_few, utf8
 
-#: Labelled rows that a fit may use, chosen by a hash of their ids.
-FIT_ROWS = 16_000
-#: Terms kept; prefix lengths tried; examples to a block.
-TERMS, PREFIXES, BLOCK = 2_048, (4, 5, 6, 7, 8, 9), 64
-NEIGHBOURS = 15
+#: Labelled rows that a fit may use, chosen by a hash of their ids; the index holds them all.
+FIT_ROWS = 3_000
+#: Letters of a word's beginning, examples to a block, neighbours that vote.
+PREFIX, BLOCK, NEIGHBOURS = 5, 256, 15
+#: A term's scale: FLOOR plus how far its label odds are beyond SURE standard errors.
+FLOOR, SURE = 0.1, 3.0
+#: New words that a worker remembers, and heaviest terms given as evidence.
+REMEMBERED, SHOWN = 1 << 18, 5
 
 _WORD = regex.compile(r"\p{L}+")
 
 
-def _terms(text: str) -> set[str]:
-    found = set()
-    for word in set(_WORD.findall(text.lower())):
-        found.add(word + "$")
-        found.update(word[:n] for n in PREFIXES if len(word) >= n)
-    return found
-
-
-class Matcher:
-    """Counts chosen terms in whole texts; a term ending in ``$`` must end its word too."""
-
-    def __init__(self, terms: list[str]):
-        self.automaton = ahocorasick.Automaton()
-        keys: dict[str, list[tuple[int, bool]]] = {}
-        for i, term in enumerate(terms):
-            keys.setdefault(term.removesuffix("$"), []).append((i, term.endswith("$")))
-        for key, uses in keys.items():
-            self.automaton.add_word(key, (len(key), uses))
-        if terms:
-            self.automaton.make_automaton()
-        self.empty = not terms
-
-    def counts(self, text: str) -> dict[int, int]:
-        found: dict[int, int] = {}
-        if self.empty:
-            return found
-        text = text.lower()
-        for end, (size, uses) in self.automaton.iter(text):
-            start = end + 1 - size
-            if start and text[start - 1].isalpha():
-                continue
-            closed = end + 1 == len(text) or not text[end + 1].isalpha()
-            for i, whole in uses:
-                if closed or not whole:
-                    found[i] = found.get(i, 0) + 1
-        return found
-
-
 def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pool adjacent violators: upper ends of the pools and their smoothed rates."""
     order = np.argsort(x, kind="stable")
@@ -87,39 +54,90 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.array([p[0] for p in pools]), np.array([(p[1] + 0.5) / (p[2] + 1) for p in pools])
 
 
+def _tally(words: list[str]) -> Counter:
+    """Counts of all terms; a beginning is told from a word by the mark after it."""
+    found = Counter(words)
+    for word, n in list(found.items()):
+        if len(word) > PREFIX:
+            found[word[:PREFIX] + "-"] += n
+    return found
+
+
+class Vocabulary:
+    """Numbers of the terms in a list of words."""
+
+    def __init__(self, terms: list[str]):
+        self.number = {t: i for i, t in enumerate(terms)}
+        # A word's own number and its beginning's, each one more or 0, in one integer.
+        self._known: dict[str, int] = {}
+
+    def _look(self, word: str) -> int:
+        if len(self._known) >= REMEMBERED:
+            self._known.clear()
+        start = self.number.get(word[:PREFIX] + "-", -1) if len(word) > PREFIX else -1
+        found = self._known[word] = self.number.get(word, -1) + 1 << 32 | start + 1
+        return found
+
+    def counts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the terms in a text, in order, and how often each comes."""
+        words = _WORD.findall(text.lower())
+        found = list(map(self._known.get, words))
+        at = -1
+        try:
+            while True:
+                at = found.index(None, at + 1)
+                found[at] = self._look(words[at])
+        except ValueError:  # all are known
+            pass
+        both = np.array(found, dtype=np.int64)
+        numbers = np.concatenate([both >> 32, both & 0xFFFFFFFF])
+        numbers.sort()
+        numbers = numbers[np.searchsorted(numbers, 1) :] - 1
+        first = np.flatnonzero(np.concatenate([[True], numbers[1:] != numbers[:-1]])) if len(numbers) else np.zeros(0, np.int64)
+        return numbers[first], np.diff(np.append(first, len(numbers)))
+
+
 @dataclass
 class Index:
-    """The fitted examples. ``postings[block][term]`` has places in the block and weights."""
+    """The fitted examples. A term's postings in a block are ``place`` and ``weight`` from
+    ``at[term, block]`` to the next entry; ``ceiling[term, block]`` is their largest weight."""
 
     terms: list[str]
-    idf: np.ndarray
+    scale: np.ndarray
     ids: np.ndarray
     label: np.ndarray
-    postings: list[dict[int, tuple[np.ndarray, np.ndarray]]]
+    place: np.ndarray
+    weight: np.ndarray
+    at: np.ndarray
     ceiling: np.ndarray
     prior: float
     bare: float
     steps: tuple[np.ndarray, np.ndarray] = field(default_factory=lambda: (np.zeros(0), np.zeros(0)))
 
-    def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        t = np.fromiter(sorted(counts), dtype=np.int64, count=len(counts))
-        w = (1 + np.log([counts[i] for i in t])) * self.idf[t] if len(t) else np.zeros(0)
-        return t, w / (np.linalg.norm(w) or 1)
+    def vector(self, t: np.ndarray, n: np.ndarray) -> np.ndarray:
+        w = (1 + np.log(n)) * self.scale[t]
+        return w / (np.linalg.norm(w) or 1)
 
     def nearest(self, t: np.ndarray, w: np.ndarray, k: int, but: int = -1) -> list[tuple[float, int]]:
         """The ``k`` nearest as (cosine, place), best first, equal ones by place; ``but`` is left out."""
-        bound = w @ self.ceiling[t] if len(t) else np.zeros(0)
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or len(best) == k and bound[b] + 1e-9 < best[-1][0]:
+        if not len(t) or not len(self.place):
+            return []
+        blocks = self.ceiling.shape[1]
+        bound, first = w @ self.ceiling[t], t * blocks
+        score, place = np.zeros(0), np.zeros(0, np.int64)
+        for b in np.argsort(-bound, kind="stable").tolist():
+            if bound[b] <= 0 or len(score) == k and bound[b] + 1e-6 < score[-1]:
                 break
-            score = np.zeros(BLOCK)
-            for term, weight in zip(t.tolist(), w.tolist(), strict=True):
-                if posting := self.postings[b].get(term):
-                    score[posting[0]] += weight * posting[1]
-            best += [(float(score[i]), int(b) * BLOCK + int(i)) for i in np.flatnonzero(score > 0) if b * BLOCK + i != but]
-            best = sorted(best, key=lambda x: (-x[0], x[1]))[:k]
-        return best
+            lo = self.at[first + b]
+            n = self.at[first + b + 1] - lo
+            which = np.arange(n.sum()) + np.repeat(lo - (np.cumsum(n) - n), n)
+            mine = np.bincount(self.place[which], weights=np.repeat(w, n) * self.weight[which], minlength=BLOCK)
+            at = np.flatnonzero(mine > (0 if len(score) < k else score[-1] - 1e-9))
+            at = at[at + b * BLOCK != but]
+            score, place = np.concatenate([score, np.round(mine[at], 12)]), np.concatenate([place, at + b * BLOCK])
+            best = np.lexsort((place, -score))[:k]
+            score, place = score[best], place[best]
+        return list(zip(score.tolist(), place.tolist(), strict=True))
 
     def vote(self, near: list[tuple[float, int]]) -> float:
         weight = np.array([1 / (1.05 - c) for c, _ in near])
@@ -132,35 +150,65 @@ class Index:
         return float(rates[min(np.searchsorted(ends, self.vote(near)), len(ends) - 1)])
 
 
-def build_index(terms: list[str], rows: list[tuple[int, int, dict[int, int]]], k: int = NEIGHBOURS) -> Index:
-    """``rows``: (id, label, term counts) of the fitted examples, in any order."""
-    rows = sorted(rows, key=lambda r: (r[0], r[1]))
-    df = Counter(t for r in rows for t in r[2])
-    idf = np.array([np.log((len(rows) + 1) / (df[t] + 1)) + 1 for t in range(len(terms))])
+def _alike(rows: list[tuple[np.ndarray, np.ndarray]], df: np.ndarray) -> np.ndarray:
+    """An order that puts examples with the same common terms together. It decides about cost alone."""
+    common = np.argsort(-df, kind="stable")[:256]
+    column = np.full(len(df), -1)
+    column[common] = np.arange(len(common))
+    dense = np.zeros((len(rows), len(common)))
+    for i, (t, w) in enumerate(rows):
+        c = column[t]
+        dense[i, c[c >= 0]] = w[c >= 0]
+    norm = np.linalg.norm(dense, axis=1, keepdims=True)
+    dense = dense / np.where(norm > 0, norm, 1)
+    centre = dense[np.linspace(0, len(rows) - 1, 8).astype(int)]
+    for _ in range(12):
+        near = np.argmax(dense @ centre.T, axis=1)
+        centre = np.stack([dense[near == c].mean(axis=0) if (near == c).any() else centre[c] for c in range(len(centre))])
+        centre /= np.maximum(np.linalg.norm(centre, axis=1, keepdims=True), 1e-12)
+    return np.argsort(near, kind="stable")
+
+
+def build_index(rows: list[tuple[int, int, dict[str, int]]], k: int = NEIGHBOURS) -> Index:
+    """``rows``: (id, label 0 or 1, term counts) of the fitted examples, in any order."""
+    rows = sorted(rows, key=lambda r: (r[0], r[1], sorted(r[2].items())))
+    seen: tuple[Counter, Counter] = (Counter(), Counter())
+    for _, label, counts in rows:
+        seen[label].update(counts.keys())
+    terms = sorted(seen[0] | seen[1])
+    number = {t: i for i, t in enumerate(terms)}
+    toxic, clean = (sum(r[1] == label for r in rows) for label in (1, 0))
+    a, b = (np.array([seen[label][t] for t in terms], dtype=np.float64) for label in (1, 0))
+    odds = np.log((a + 0.5) / (toxic + 1)) - np.log((b + 0.5) / (clean + 1))
+    sure = np.abs(odds) / np.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
+    idf = np.log((len(rows) + 1) / (a + b + 1)) + 1
     with_terms, bare = [r for r in rows if r[2]], [r for r in rows if not r[2]]
-    blocks = -(-len(with_terms) // BLOCK)
     index = Index(
         terms,
-        idf,
-        np.array([r[0] for r in with_terms], dtype=np.int64),
-        np.array([r[1] for r in with_terms], dtype=np.float64),
-        [{} for _ in range(blocks)],
-        np.zeros((len(terms), blocks)),
-        (sum(r[1] for r in rows) + 0.5) / (len(rows) + 1),
+        idf * (FLOOR + np.maximum(sure - SURE, 0)),
+        *(np.zeros(0) for _ in range(5)),
+        np.zeros((len(terms), -(-len(with_terms) // BLOCK)), dtype=np.float32),
+        (toxic + 0.5) / (len(rows) + 1),
         (sum(r[1] for r in bare) + 0.5) / (len(bare) + 1) if bare else 0.5 / (len(rows) + 1),
     )
-    vectors = [index.vector(r[2]) for r in with_terms]
-    for b in range(blocks):
-        lists: dict[int, list[tuple[int, float]]] = {}
-        for i, (t, w) in enumerate(vectors[b * BLOCK : (b + 1) * BLOCK]):
-            for term, weight in zip(t.tolist(), w.tolist(), strict=True):
-                lists.setdefault(term, []).append((i, weight))
-        for term, posting in lists.items():
-            weights = np.array([p[1] for p in posting])
-            index.postings[b][term] = (np.array([p[0] for p in posting]), weights)
-            index.ceiling[term, b] = weights.max()
+    vectors = []
+    for _, _, counts in with_terms:
+        t = np.array(sorted(number[x] for x in counts), dtype=np.int64)
+        vectors.append((t, index.vector(t, np.array([counts[terms[i]] for i in t], dtype=np.float64))))
+    order = _alike(vectors, a + b).tolist() if vectors else []
+    with_terms, vectors = [with_terms[i] for i in order], [vectors[i] for i in order]
+    index.ids, index.label = np.array([r[0] for r in with_terms], dtype=np.int64), np.array([r[1] for r in with_terms], dtype=np.float64)
     if vectors:
-        votes = np.array([index.vote(index.nearest(*v, k, but=i)) for i, v in enumerate(vectors)])
+        blocks = index.ceiling.shape[1]
+        t, w = (np.concatenate([v[j] for v in vectors]) for j in (0, 1))
+        example = np.repeat(np.arange(len(vectors)), [len(v[0]) for v in vectors])
+        cell = t * blocks + example // BLOCK
+        order = np.argsort(cell, kind="stable")
+        cell, index.place, index.weight = cell[order], (example[order] % BLOCK).astype(np.int16), w[order]
+        index.at = np.concatenate([[0], np.cumsum(np.bincount(cell, minlength=index.ceiling.size))]).astype(np.int32)
+        used = np.flatnonzero(np.diff(index.at))
+        index.ceiling.ravel()[used] = np.nextafter(np.maximum.reduceat(index.weight, index.at[used]).astype(np.float32), np.float32(2))
+        votes = np.array([index.vote(index.nearest(t, w, k, but=i)) for i, (t, w) in enumerate(vectors)])
         index.steps = isotonic(votes, index.label)
     return index
 
@@ -171,68 +219,59 @@ def _strings(column: pa.Array) -> Iterator[str]:
         yield data[a:b].tobytes().decode("utf-8", "replace")
 
 
-_TALLY = pa.schema([("term", pa.string()), ("toxic", pa.int64()), ("clean", pa.int64())])
-_EXAMPLE = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("terms", pa.list_(pa.int32())), ("counts", pa.list_(pa.int32()))])
+_EXAMPLE = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("terms", pa.list_(pa.string())), ("counts", pa.list_(pa.int32()))])
 _NEAR = pa.struct([("doc_id", pa.int64()), ("label", pa.int32()), ("cosine", pa.float64())])
 _SCORES = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("evidence", pa.list_(_NEAR)), ("terms", pa.list_(pa.string()))])
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, *, rows: int = FIT_ROWS, terms: int = TERMS, support: int = 3, k: int = NEIGHBOURS, id_col: str = "doc_id", text_col: str = "text") -> Index:
-    """Choose terms and index examples from at most ``rows`` of ``labels``
-    (doc_id, label 0/1; null labels ignored). Tallies are summed per task first."""
-    keys = fit_rows(labels.filter(F.col("label").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("int").alias("label")), "doc_id", rows)
-    texts = join_few(id_text(docs, id_col, text_col), keys, "doc_id").select("doc_id", "text", "label")
+def fit_toxicity(docs: DataFrame, labels: DataFrame, *, rows: int = FIT_ROWS, k: int = NEIGHBOURS, id_col: str = "doc_id", text_col: str = "text") -> Index:
+    """Index the texts of at most ``rows`` of ``labels`` (doc_id, label).
 
-    @fresh
-    def tally(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sums: tuple[Counter, Counter] = (Counter(), Counter())
-            for label, text in zip(b.column("label").to_pylist(), _strings(b.column("text")), strict=True):
-                sums[label].update(_terms(text))
-            names = list(sums[0] | sums[1])
-            yield batch(_TALLY, names, [sums[1][t] for t in names], [sums[0][t] for t in names])
-
-    n = {r.label: r.n for r in texts.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    toxic, clean = n.get(1, 0), n.get(0, 0)
-    sums = texts.mapInArrow(tally, "term string, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("a"), F.sum("clean").alias("b"))
-    odds = F.log((F.col("a") + 0.5) / (toxic + 1)) - F.log((F.col("b") + 0.5) / (clean + 1))
-    weight = odds / F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("b") + 0.5))
-    chosen = [r.term for r in sums.filter((F.col("a") >= support) & (odds > 1.5) & (weight > 3)).orderBy(F.desc(F.round(weight, 9)), "term").limit(terms).select("term").collect()]
-    matcher: list[Matcher] = []
+    Labels other than 0 and 1, nulls among them, are left out. A null text is an
+    example without terms. A label given twice, or an id with several texts, makes
+    an example each time. With no labelled text every score is 0.5.
+    """
+    keys = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("int").alias("label")).filter("label IN (0, 1) AND doc_id IS NOT NULL")
+    texts = join_few(id_text(docs, id_col, text_col), fit_rows(keys, "doc_id", rows), "doc_id").select("doc_id", "text", "label")
 
     @fresh
     def examples(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not matcher:
-            matcher.append(Matcher(chosen))
         for b in batches:
-            found = [matcher[0].counts(text) for text in _strings(b.column("text"))]
+            found = [_tally(_WORD.findall(text.lower())) for text in _strings(b.column("text"))]
             yield batch(_EXAMPLE, b.column("doc_id"), b.column("label"), [list(f) for f in found], [list(f.values()) for f in found])
 
-    got = texts.mapInArrow(examples, "doc_id long, label int, terms array<int>, counts array<int>").collect()
-    return build_index(chosen, [(r.doc_id, r.label, dict(zip(r.terms, r.counts, strict=True))) for r in got], k)
+    got = texts.mapInArrow(examples, "doc_id long, label int, terms array<string>, counts array<int>").toArrow()
+    columns = [got.column(c).to_pylist() for c in _EXAMPLE.names]
+    return build_index([(i, label, dict(zip(t, n, strict=True))) for i, label, t, n in zip(*columns, strict=True)], k)
 
 
 def score_toxicity(docs: DataFrame, index: Index, *, k: int = NEIGHBOURS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Score every whole text: doc_id, score in 0..1, evidence (the nearest
-    examples with their labels and cosines), terms found.
+    examples with their labels and cosines), terms (the heaviest it shares with the index).
 
-    A text with none of the terms, as a null or empty one, gets the smoothed
-    rate of toxic examples without terms, and no evidence. Equal texts score
-    alike; repeated rows each give a row; extra columns are ignored. The index
-    is bounded by the fit's rows and terms. No shuffle.
+    A text with none of the index's terms, as a null or empty one, gets the
+    smoothed rate of toxic examples without terms, and no evidence. Equal texts
+    score alike; repeated rows each give a row; extra columns are ignored. The
+    index is bounded by the fit's rows. No shuffle.
     """
     state: list = []
 
     @fresh
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not state:
-            state.append(Matcher(index.terms))
-        for b in batches:
-            rows = []
-            for text in _strings(b.column("text")):
-                counts = state[0].counts(text)
-                near = index.nearest(*index.vector(counts), k)
-                rows.append((index.score(near), [{"doc_id": int(index.ids[p]), "label": int(index.label[p]), "cosine": c} for c, p in near], sorted(index.terms[t] for t in counts)))
-            yield batch(_SCORES, b.column("doc_id"), [r[0] for r in rows], pa.array([r[1] for r in rows], type=_SCORES.field("evidence").type), pa.array([r[2] for r in rows], type=_SCORES.field("terms").type))
+            state.append(Vocabulary(index.terms))
+        gc.disable()  # the vocabulary has no cycles, and going through it takes long
+        try:
+            for b in batches:
+                rows = []
+                for text in _strings(b.column("text")):
+                    t, n = state[0].counts(text)
+                    w = index.vector(t, n)
+                    near = index.nearest(t, w, k)
+                    heavy = t[np.lexsort((t, -w))[:SHOWN]]
+                    rows.append((index.score(near), [{"doc_id": int(index.ids[p]), "label": int(index.label[p]), "cosine": c} for c, p in near], [index.terms[i] for i in heavy]))
+                yield batch(_SCORES, b.column("doc_id"), [r[0] for r in rows], pa.array([r[1] for r in rows], type=_SCORES.field("evidence").type), pa.array([r[2] for r in rows], type=_SCORES.field("terms").type))
+        finally:
+            gc.enable()
 
     return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, score double, evidence array<struct<doc_id: long, label: int, cosine: double>>, terms array<string>")
