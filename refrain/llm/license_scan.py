@@ -4,7 +4,9 @@ A notice of ``m`` letters may differ by ``k = m // 10`` edits. Cut into ``k + 1`
 pieces it must, by the pigeonhole principle, keep one of them whole, so an
 Aho-Corasick automaton over all pieces finds every place where a notice can be.
 Around each such seed the ``regex`` library matches the notice with at most
-``k`` errors and gives its span. Well-known phrases are matched exactly beside it.
+``k`` errors and gives its span, unless the notice's three-letter grams rule that
+out: an edit breaks three of them at most. Well-known phrases are matched exactly
+beside it.
 """
 
 from __future__ import annotations
@@ -24,18 +26,25 @@ PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general publi
 
 # Short notices in normal form (lower case, words joined by a space).
 NOTICES = (
+    ("agpl", "licensed under the gnu affero general public license"),
     ("apache", "licensed under the apache license version 2 0"),
+    ("boost", "distributed under the boost software license version 1 0"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
     ("cc-by", "licensed under a creative commons attribution license"),
     ("cc-by-nc", "licensed under cc by nc 4 0"),
     ("cc-by-sa", "licensed under cc by sa 4 0"),
+    ("cc0", "waived all copyright and related or neighboring rights to this work"),
+    ("epl", "made available under the terms of the eclipse public license"),
     ("gpl", "licensed under the gnu general public license"),
+    ("gpl", "you can redistribute it and or modify it under the terms of the gnu general public license"),
     ("isc", "permission to use copy modify and or distribute this software for any purpose"),
     ("lgpl", "licensed under the gnu lesser general public license"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy"),
     ("mit", "released under the mit license"),
     ("mpl", "subject to the terms of the mozilla public license"),
     ("public-domain", "released into the public domain"),
+    ("unlicense", "this is free and unencumbered software released into the public domain"),
+    ("zlib", "this software is provided as is without any express or implied warranty"),
 )
 
 _OTHER, _END = 0x20, 0x0A
@@ -48,6 +57,8 @@ class Scanner:
         self.notices, self.phrases = notices, phrases
         self.edits = [len(text.encode()) // 10 for _, text in notices]
         self.patterns = [regex.compile(rb"(?b)(?:%s){e<=%d}" % (regex.escape(text).encode(), k), regex.V1) for (_, text), k in zip(notices, self.edits, strict=True)]
+        self.texts = [text.encode() for _, text in notices]
+        self.grams = [[text[i : i + 3] for i in range(len(text) - 2)] for text in self.texts]
         self.seeds = ahocorasick.Automaton()
         seeds: dict[str, list[tuple[int, int]]] = {}
         for i, ((_, text), k) in enumerate(zip(notices, self.edits, strict=True)):
@@ -61,6 +72,11 @@ class Scanner:
         self.seeds.make_automaton()
 
     def _verify(self, i: int, window: bytes) -> tuple[int, int, int] | None:
+        whole = window.find(self.texts[i])
+        if whole >= 0:
+            return whole, whole + len(self.texts[i]), 0
+        if sum(map(window.__contains__, self.grams[i])) < len(self.grams[i]) - 3 * self.edits[i]:
+            return None
         found = self.patterns[i].search(window)
         return found and (found.start(), found.end(), sum(found.fuzzy_counts))
 
@@ -78,7 +94,7 @@ class Scanner:
         first = np.searchsorted(starts, begins)
         rows = [{"n_words": int(n), "places": [], "spans": []} for n in np.searchsorted(starts, ends) - first]
         flat = text.tobytes()
-        tried: set[tuple[int, int]] = set()
+        tried: set[tuple[int, int, int]] = set()
         for end, (size, uses) in self.seeds.iter(flat.decode("latin-1")):
             seed_at = end + 1 - size
             row = int(np.searchsorted(ends, seed_at))
@@ -90,9 +106,9 @@ class Scanner:
                     continue
                 k, length = self.edits[i], len(self.notices[i][1])
                 a, b = max(lo, seed_at - offset - k), min(hi, seed_at - offset + length + 2 * k)
-                if (i, a) in tried:
+                if (i, a, b) in tried:
                     continue
-                tried.add((i, a))
+                tried.add((i, a, b))
                 if found := self._verify(i, flat[a:b]):
                     w = np.searchsorted(starts, [a + found[0], a + found[1]], side="right") - 1 - first[row]
                     rows[row]["spans"].append((self.notices[i][0], int(w[0]), int(w[1]), found[2], 1 - found[2] / length))
