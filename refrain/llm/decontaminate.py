@@ -19,14 +19,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from refrain.llm.base import batch, fresh, id_text, utf8
+from refrain.llm.base import batch, cut, fresh, id_text, utf8
 
 #: Masks over eight to eleven words, seven of them marked; differing words can fall into the gaps.
 #: Wherever two of ``OVERLAP`` words differ, the most that ``AGREE`` allows, one of these fits between (tested by enumeration).
 MASKS = ("11110111", "1110110011", "11010010111")
 #: An overlap's length in words, and the share of its words that must agree.
 OVERLAP, AGREE = 13, 0.8
-#: Test words whose whole index (about 60 bytes a word) may be sent to the executors.
+#: Test words whose whole index (about 60 bytes a word) may be held and sent at once.
 SENT_WORDS = 1 << 20
 
 _WORD = regex.compile(rb"[0-9a-z\x80-\xff]+")
@@ -125,9 +125,10 @@ class TestIndex:
             same = h[a + d : b + d] == self.hashes[a:b]
             total = np.concatenate([[0], np.cumsum(same)])
             share = (total[overlap:] - total[:-overlap]) / overlap
-            good = np.flatnonzero(share >= agree)
-            if len(good):
-                first, last = int(good[0]), int(good[-1]) + overlap
+            edge = np.diff(np.concatenate([[0], (share >= agree).view(np.int8), [0]]))
+            # Each run of windows that agree is an overlap of its own.
+            for first, end in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True):
+                last = end - 1 + overlap
                 out.append((int(self.item[i]), a + d + first, last - first, float(same[first:last].mean())))
         return sorted(out)
 
@@ -152,21 +153,22 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, masks: tuple[str, ..
     """Overlaps of training texts with benchmark items (item_id, text).
 
     Returns doc_id, item_id, first_word, n_words, agreement: one row for each
-    item and diagonal with a window of ``overlap`` words of which a share of
-    ``agree`` are equal and a seed hits, as one always does with the default masks,
-    overlap and share. Items shorter than ``overlap`` words
+    run of windows on a diagonal with an item, each of ``overlap`` words of which
+    a share of ``agree`` are equal, where a seed hits the diagonal, as one always
+    does with the default masks, overlap and share; agreement is that of the whole run. Items shorter than ``overlap`` words
     count where they stand whole. Texts or items that are null, empty or without
     words overlap nothing; repeated documents or items each give their rows;
     extra columns are ignored.
 
-    Test hashes are sent to all executors in parts of at most ``SENT_WORDS``
-    words, one pass over the documents each, so what is sent has a fixed bound
-    whatever the benchmark's size.
+    Test hashes go to the executors in parts of about ``SENT_WORDS`` words at most
+    (a longer single item is a part of its own). Several parts are worked off one
+    after another, each a pass over the documents whose matches are checkpointed,
+    so neither the driver nor an executor holds more than one at a time.
     """
     texts = id_text(docs, id_col, text_col)
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
     letters = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first().n
-    parts = letters // (SENT_WORDS * 4) + 1  # a word takes four letters or more with its gap
+    parts = -(-letters // (2 * SENT_WORDS)) or 1  # a word takes two letters or more with its gap
     out = None
     for part in range(parts):
         mine = items.filter(F.pmod(F.xxhash64("text"), F.lit(parts)) == part)
@@ -181,6 +183,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, masks: tuple[str, ..
                 yield batch(_ROWS, ids, *([r[1][i] for r in rows] for i in range(4)))
 
         found = texts.mapInArrow(run, "doc_id long, item_id long, first_word long, n_words long, agreement double")
+        if parts > 1:
+            found = cut(found)
         out = found if out is None else out.unionByName(found)
     return out
 
