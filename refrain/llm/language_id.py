@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from refrain.llm.base import batch, fresh, id_text, join_few, utf8
 
 PROFILE = 400
-#: Learning texts of each language, chosen by a hash of their ids.
+#: Learning texts of each language, about; chosen by a hash of their ids.
 FIT_ROWS = 4_000
 _PIECE = 1 << 19
 _LETTER: list[np.ndarray] = []
@@ -76,13 +76,18 @@ def learn_profiles(docs: DataFrame, learn: Column, *, size: int = PROFILE, rows:
     """A ranking of n-gram codes for each language.
 
     ``docs`` has doc_id, text and lang, ``learn`` tells the rows to learn from.
-    At most ``rows`` texts a language are used. N-grams are counted per task,
-    then summed; the ``size`` best of a language are ranked before they move.
+    A language with more than ``rows`` texts uses each with the probability that
+    makes it about ``rows``, by a hash of its id, so that no language is sorted in
+    one place; texts of one id are used or left out together. N-grams are counted
+    per task, then summed; the ``size`` best of a language are ranked before they
+    move. Null texts, and rows without a language or id, teach nothing; an empty
+    text adds no n-gram, and a repeated row counts each time. An empty table
+    gives no profile.
     """
     keys = docs.filter(learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "lang")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    keys = keys.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= rows).drop("r")
-    texts = join_few(id_text(docs), keys, "doc_id")
+    share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
+    keys = join_few(keys, keys.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "lang").filter(share * F.col("n") < rows).select("doc_id", "lang").distinct()
+    texts = join_few(id_text(docs.filter(F.col("text").isNotNull())), keys, "doc_id")
 
     @fresh
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
