@@ -22,12 +22,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the reliable checkpoint folder and forget its lineage.
 
-    The folder is the cluster's ``spark.checkpoint.dir``; only a session without
-    one (a local test) gets a temporary folder.
+    The folder is the cluster's ``spark.checkpoint.dir``. A local session without
+    one (a test) gets a temporary folder; a cluster's must name it.
     """
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="refrain-"))
     return df.checkpoint()
 
@@ -98,10 +100,10 @@ def join_few(docs: DataFrame, few: DataFrame, key: str) -> DataFrame:
     return docs.join(F.broadcast(few) if few.count() <= BROADCAST_ROWS else few, key)
 
 
-def drop_ids(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """``docs`` without the ids of ``rejected`` (doc_id): an anti-join, broadcast only within BROADCAST_ROWS."""
-    ids = cut(rejected.select("doc_id").distinct())
-    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, "doc_id", "left_anti").select(*docs.columns)
+def drop_ids(docs: DataFrame, rejected: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``docs`` without the keys of ``rejected``: an anti-join, broadcast only within BROADCAST_ROWS."""
+    ids = cut(rejected.select(key).distinct())
+    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, key, "left_anti").select(*docs.columns)
 
 
 _KEPT: dict[Any, Any] = {}

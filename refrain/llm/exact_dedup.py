@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 from refrain.llm.base import batch, id_text
 
+#: Stands for a null id among the winners.
+_NO_ID = -(1 << 63)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -113,8 +115,9 @@ def exact_dedup(docs: DataFrame, historical: Column, *, id_col: str = "doc_id",
     others are looked up in it. Every row is returned: doc_id, keep_id,
     group_size, kept, text_sha256. A null text counts as empty, texts are equal
     if their UTF-8 bytes are; of equal ids with equal texts each row returns,
-    all of them marked kept if the id is the winner's. An empty table gives an
-    empty result. Extra columns are ignored.
+    all of them marked kept if the id is the winner's. A null id loses against any
+    other; a group of null ids alone has a null keep_id, and all its rows are
+    kept. An empty table gives an empty result. Extra columns are ignored.
 
     Digest groups are counted before the shuffle, so a text that a third of all
     rows share reaches a bucket as one row for each map task; the final join is
@@ -129,11 +132,12 @@ def exact_dedup(docs: DataFrame, historical: Column, *, id_col: str = "doc_id",
     n = buckets or max(64, 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def groups(part: DataFrame) -> DataFrame:
-        return part.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")).withColumn("bucket", F.pmod(F.xxhash64("digest"), F.lit(n)).cast("int"))
+        return part.groupBy("digest").agg(F.coalesce(F.max("doc_id"), F.lit(_NO_ID)).alias("keep_id"), F.count(F.lit(1)).alias("group_size")).withColumn("bucket", F.pmod(F.xxhash64("digest"), F.lit(n)).cast("int"))
 
     history, fresh = groups(digests().filter(historical)), groups(digests().filter(~F.coalesce(historical, F.lit(False))))
     merged = history.groupBy("bucket").cogroup(fresh.groupBy("bucket")).applyInArrow(_lookup, "digest binary, keep_id long, group_size long")
-    return rows.join(merged, "digest").select("doc_id", "keep_id", "group_size", (F.col("doc_id") == F.col("keep_id")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
+    merged = merged.withColumn("keep_id", F.when(F.col("keep_id") != _NO_ID, F.col("keep_id")))
+    return rows.join(merged, "digest").select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
 
 
 def halves(docs: DataFrame, id_col: str = "doc_id") -> Column:

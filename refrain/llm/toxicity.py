@@ -189,7 +189,7 @@ def build_index(rows: list[tuple[int, int, dict[str, int]]], k: int = NEIGHBOURS
         *(np.zeros(0) for _ in range(5)),
         np.zeros((len(terms), -(-len(with_terms) // BLOCK)), dtype=np.float32),
         (toxic + 0.5) / (len(rows) + 1),
-        (sum(r[1] for r in bare) + 0.5) / (len(bare) + 1) if bare else 0.5 / (len(rows) + 1),
+        (sum(r[1] for r in bare) + 0.5) / (len(bare) + 1) if bare else 0.5 / (len(rows) + 2),
     )
     vectors = []
     for _, _, counts in with_terms:
@@ -229,7 +229,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, rows: int = FIT_ROWS, k:
 
     Labels other than 0 and 1, nulls among them, are left out. A null text is an
     example without terms. A label given twice, or an id with several texts, makes
-    an example each time. With no labelled text every score is 0.5.
+    an example each time. With no labelled text every score is 0.25.
     """
     keys = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("int").alias("label")).filter("label IN (0, 1) AND doc_id IS NOT NULL")
     texts = join_few(id_text(docs, id_col, text_col), fit_rows(keys, "doc_id", rows), "doc_id").select("doc_id", "text", "label")

@@ -107,7 +107,8 @@ def test_decontamination_tolerates_substitutions(spark):
     got = {(r.doc_id, r.item_id): r for r in decontaminate.contamination(docs(spark, rows), bench).collect()}
     assert set(got) == {(1, 7), (2, 7), (4, 7), (5, 9)}
     assert got[1, 7].first_word == 200 and got[1, 7].n_words == 40 and got[1, 7].agreement == 1
-    assert got[2, 7].agreement == 0.9
+    # Three of words 1 to 13 differ, so the windows that agree make two runs.
+    assert (got[2, 7].first_word, got[2, 7].n_words, got[2, 7].agreement) == (205, 35, 32 / 35)
     assert decontaminate.contamination(docs(spark, rows), bench.limit(0)).count() == 0
 
 
@@ -140,7 +141,46 @@ def test_masks_hit_every_window_that_agrees():
     index = decontaminate.TestIndex.build([(1, " ".join(item).encode())])
     for first in range(5):
         text = [b"x" if i % 5 == first else w.encode() for i, w in enumerate(item)]
-        assert len(index.overlaps(text)) == 1
+        assert index.overlaps(text)  # windows with two and with three other words take turns
+
+
+def test_runs_on_one_diagonal_stay_apart():
+    item = [f"w{i}" for i in range(80)]
+    index = decontaminate.TestIndex.build([(1, " ".join(item).encode())])
+    text = [f"x{i}".encode() if 15 <= i < 65 else w.encode() for i, w in enumerate(item)]
+    found = index.overlaps(text)
+    assert len(found) == 2 and all(n <= 19 and agree >= 15 / 17 for _, _, n, agree in found)
+
+
+def brute_overlaps(texts, items):
+    """(doc, item) of every pair with windows of 13 words of which 11 agree, or a short item that stands whole."""
+    out = set()
+    for d, text in texts.items():
+        have = decontaminate.words((text or "").encode())
+        for i, item in items.items():
+            want = decontaminate.words((item or "").encode())
+            size, least = (13, 11) if len(want) >= 13 else (len(want), len(want))
+            for a, b in itertools.product(range(len(have) - size + 1), range(len(want) - size + 1)):
+                if size and sum(x == y for x, y in zip(have[a : a + size], want[b : b + size], strict=True)) >= least:
+                    out.add((d, i))
+                    break
+    return out
+
+
+@pytest.mark.parametrize("sent", [1 << 20, 40])
+def test_decontamination_matches_brute_force(spark, monkeypatch, sent):
+    monkeypatch.setattr(decontaminate, "SENT_WORDS", sent)
+    rng = np.random.default_rng(5)
+    items = {i: syllables(rng, int(rng.integers(2, 45))) for i in range(12)}
+    texts = {}
+    for d in range(60):
+        mine = items[int(rng.integers(0, 12))].split()
+        a = int(rng.integers(0, len(mine)))
+        part = [w if rng.random() > 0.12 else "zz" for w in mine[a : a + int(rng.integers(5, 30))]]
+        texts[d] = " ".join([syllables(rng, int(rng.integers(0, 20))), *part, syllables(rng, 6)])
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    got = decontaminate.contamination(docs(spark, [(d, t, None) for d, t in texts.items()]), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == brute_overlaps(texts, items)
 
 
 def test_decontamination_odd(spark, odd, empty):
@@ -474,6 +514,9 @@ def test_exact_dedup(spark, odd, empty, cut):
     odd_rows = exact_dedup.exact_dedup(odd, exact_dedup.halves(odd)).collect()
     assert len(odd_rows) == len(ODD) and sum(r.kept is True for r in odd_rows if r.doc_id == 7) == 2
     assert exact_dedup.exact_dedup(empty, exact_dedup.halves(empty)).count() == 0
+    nulls = docs(spark, [(None, "a", None), (None, "a", None), (None, "b", None), (3, "b", None)])
+    got = sorted((r.doc_id or 0, r.keep_id or 0, r.kept) for r in exact_dedup.exact_dedup(nulls, F.col("doc_id") <= cut).collect())
+    assert got == [(0, 0, True), (0, 0, True), (0, 3, False), (3, 3, True)]
 
 
 # --- 8 licenses ---------------------------------------------------------------------------------
@@ -504,26 +547,76 @@ def test_seeds_find_every_edited_notice():
             assert scanner.scan(data, np.array([0, len(data)]))[0]["spans"], (label, "".join(text))
 
 
+def test_license_scan_matches_whole_text_search():
+    rng = np.random.default_rng(7)
+    scanner = license_scan.Scanner()
+    for i, (_, notice) in enumerate(license_scan.NOTICES):
+        for _ in range(12):
+            text = list(notice)
+            for at in rng.integers(1, len(text) - 1, int(rng.integers(0, scanner.edits[i] + 1))):
+                text[at] = "q"
+            stray = notice[int(rng.integers(0, 20)) :][: int(rng.integers(0, 24))].strip()
+            whole = " ".join(f"{stray} {''.join(text)} {syllables(rng, int(rng.integers(0, 4)))}".split())
+            data = np.frombuffer(whole.encode(), np.uint8)
+            spans = scanner.scan(data, np.array([0, len(data)]))[0]["spans"]
+            for (label, _), pattern in zip(license_scan.NOTICES, scanner.patterns, strict=True):
+                if m := pattern.search(whole.encode()):
+                    first, last = whole[: m.start()].count(" "), whole[: m.end()].count(" ")
+                    assert any(x[1] <= last and x[2] >= first and x[3] <= sum(m.fuzzy_counts) for x in spans), (label, whole)
+
+
 # --- 9 toxicity ---------------------------------------------------------------------------------
 
 
 def test_block_max_search_is_exact():
     rng = np.random.default_rng(0)
-    rows = [(i, int(rng.random() < 0.5), {int(t): int(rng.integers(1, 4)) for t in set(rng.integers(0, 30, rng.integers(0, 8)))}) for i in range(400)]
-    index = toxicity.build_index([f"t{i}" for i in range(30)], rows)
-    held = [r for r in sorted(rows) if r[2]]
-    full = np.zeros((len(held), 30))
-    for i, r in enumerate(held):
-        t, w = index.vector(r[2])
-        full[i, t] = w
-    for i in range(0, len(held), 7):
-        t, w = index.vector(held[i][2])
-        q = np.zeros(30)
-        q[t] = w
-        scores = full @ q
-        want = sorted(((-s, p) for p, s in enumerate(scores) if s > 1e-12))[:15]
-        got = index.nearest(t, w, 15)
+    rows = [(i, int(rng.random() < 0.5), {f"t{t}": int(rng.integers(1, 4)) for t in set(rng.integers(0, 30, rng.integers(0, 8)))}) for i in range(700)]
+    index = toxicity.build_index(rows)
+    number, held = {t: i for i, t in enumerate(index.terms)}, {r[0]: r[2] for r in rows if r[2]}
+    assert sorted(index.ids) == sorted(held) and index.ceiling.shape[1] > 1
+    full = np.zeros((len(held), len(index.terms)))
+    for place, i in enumerate(index.ids.tolist()):
+        t = np.array(sorted(number[x] for x in held[i]))
+        full[place, t] = index.vector(t, np.array([held[i][index.terms[x]] for x in t]))
+    for place in range(0, len(held), 7):
+        t = np.flatnonzero(full[place])
+        scores = np.round(full @ full[place], 12)
+        scores[place] = 0
+        want = sorted((-s, p) for p, s in enumerate(scores) if s > 1e-9)[:15]
+        got = index.nearest(t, full[place, t], 15, but=place)
         assert np.allclose([s for s, _ in got], [-s for s, _ in want]) and len(got) == len(want)
+        assert sum(a != b for (_, a), (_, b) in zip(got, want, strict=True)) <= 2  # ties apart by a rounding
+
+
+def test_toxicity_matches_brute_force(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, syllables(rng, int(rng.integers(0, 40))) + (" vilewords" if i % 5 == 0 and i % 3 else ""), None) for i in range(400)]
+    table, labels = docs(spark, rows), {i: int(i % 5 == 0) for i in range(0, 400, 2)}
+    index = toxicity.fit_toxicity(table, spark.createDataFrame(list(labels.items()), "doc_id long, label int"))
+    tally = {i: toxicity._tally(re.findall(r"\w+", t)) for i, t, _ in rows}
+    used = {x for i in labels for x in tally[i]}
+    assert set(index.terms) == used  # every word counts, toxic or not
+    scale = dict(zip(index.terms, index.scale, strict=True))
+
+    def vector(i):
+        w = {x: (1 + np.log(n)) * scale[x] for x, n in tally[i].items() if x in used}
+        norm = np.sqrt(sum(v * v for v in w.values())) or 1
+        return {x: v / norm for x, v in w.items()}
+
+    place = {int(i): p for p, i in enumerate(index.ids)}
+    examples = {i: vector(i) for i in labels}
+    got = {r.doc_id: r for r in toxicity.score_toxicity(table, index).collect()}
+    assert len(got) == 400
+    for i in range(1, 400, 9):
+        mine = vector(i)
+        near = sorted((-round(sum(v * e.get(x, 0) for x, v in mine.items()), 12), place[j]) for j, e in examples.items() if any(x in e for x in mine))[:15]
+        assert np.allclose([-c for c, _ in near], [e.cosine for e in got[i].evidence])
+        assert bool(got[i].evidence) == any(x in used for x in tally[i])
+        weight = np.array([1 / (1.05 + c) for c, _ in near])
+        if len({c for c, _ in near}) == len(near):
+            vote = ((weight * index.label[[p for _, p in near]]).sum() + index.prior) / (weight.sum() + 1)
+            ends, rates = index.steps
+            assert not near or np.isclose(got[i].score, rates[min(np.searchsorted(ends, vote), len(ends) - 1)])
 
 
 def test_isotonic_is_monotone():
@@ -533,7 +626,7 @@ def test_isotonic_is_monotone():
 
 
 def test_toxicity_odd(spark, odd, empty):
-    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 8)] + [(8, None)], "doc_id long, label int")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 8)] + [(8, None), (3, 2), (1, 1), (None, 1)], "doc_id long, label int")
     got = toxicity.score_toxicity(odd, toxicity.fit_toxicity(odd, labels)).collect()
     assert len(got) == len(ODD) and all(0 <= r.score <= 1 for r in got)
     none = toxicity.fit_toxicity(empty, labels)
@@ -629,3 +722,17 @@ def test_pipeline_odd(spark, odd, empty, tmp_path):
         for _, stage in corpus_pipeline.STAGES:
             at = stage(spark, at, str(tmp_path))
         assert at.count() >= least
+
+
+def test_pipeline_keeps_other_texts_under_a_rejected_id(spark, tmp_path):
+    rng = np.random.default_rng(9)
+    passage, plain, twin = syllables(rng, 30), syllables(rng, 60), syllables(rng, 80)
+    rows = [(1, f"{plain} {passage}", None), (1, syllables(rng, 50), None), (2, twin, None), (3, twin, None), (3, syllables(rng, 40), None), (2, syllables(rng, 45), None), (4, f"{twin} more", None), (2, twin, None)]
+    table = docs(spark, rows)
+    spark.createDataFrame([(99, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(1, passage)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        table = stage(spark, table, str(tmp_path))
+    got = [(r.doc_id, r.text) for r in table.collect()]
+    assert len(got) == 4 and {(i, t) for i, t, _ in rows if t not in (twin, f"{twin} more", f"{plain} {passage}")} < set(got)
+    assert sum(twin in t for _, t in got) == 1
