@@ -14,27 +14,31 @@ all windows of one key can be judged in one place:
 4. these go to their texts, which drop the units covered.
 
 Hashes only choose candidates; what is removed is decided on whole contexts.
-A key or context that a task meets twice leaves the task once, whatever the
-number of copies, so popular passages don't fill one shard. Tables move as
-packed arrays, a row for each task and shard.
+A key or context that meets its like within an Arrow batch leaves it once, so the
+copies of a popular passage don't fill one shard. A popular gram with other
+contexts each time would: the windows of a key with over ``HOT`` runs are dealt
+out anew, each by a hash of all its units, so that just equal windows meet.
+Tables move as packed arrays, a row for each batch and shard.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from refrain.llm.base import batch, fresh, id_text, partitions, text_chunks, utf8
+from refrain.llm.base import BROADCAST_ROWS, batch, cut, fresh, id_text, partitions, text_chunks, utf8
 
 #: Windows of one context at most: a longer run is cut, so that no context is long.
 LONGEST = 4096
 #: Shards for each shuffle partition; several, so that their hashes spread evenly.
 SHARDS = 4
+#: Runs of one key that may be judged together.
+HOT = 1 << 16
 
 _M = [np.uint64(x | 1) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
 
@@ -67,7 +71,7 @@ class Units:
         n, padded = len(data), np.concatenate([data, np.zeros(self.gram + 8, np.uint8)])
         eight = np.ndarray((n + self.gram,), dtype="<u8", buffer=padded, strides=(1,)).copy()
         h = np.zeros(n, dtype=np.uint64)
-        for j, i in enumerate(range(0, self.gram, 8)):  # the gram is a multiple of eight
+        for j, i in enumerate(sorted({*range(0, self.gram - 7, 8), self.gram - 8})):
             h += eight[i : i + n] * _M[1 + j % 4]
             h = h << np.uint64(7) | h >> np.uint64(57)
         return _mix(h), at
@@ -187,8 +191,24 @@ def _blobs(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, bytes]]:
         yield from zip(b.column("kind").to_pylist(), b.column("blob").to_pylist(), strict=True)
 
 
+def _inside(b: pa.RecordBatch, row: int, end: int, text: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Which windows lie in the stretches (columns start, n) of their texts."""
+    starts, counts = (b.column(c).slice(row, end - row) for c in ("start", "n"))
+    owner = np.repeat(np.arange(end - row), np.diff(starts.offsets.to_numpy()))
+    low = owner << 40 | starts.flatten().to_numpy()
+    order = np.argsort(low)
+    low, high = low[order], (low + counts.flatten().to_numpy())[order]
+    at = text << 40 | start
+    i = np.searchsorted(low, at, side="right") - 1
+    return (i >= 0) & (at < high[i])
+
+
 def candidates(texts: DataFrame, units: Units) -> DataFrame:
-    """doc_id, twin, start, n, key, repeats of each run whose key occurs in another run, or more than once in this one."""
+    """doc_id, twin, start, n, key, repeats of each run whose key occurs in another run, or more than once in this one.
+
+    Texts with columns start and n (arrays) take part with the windows named there alone.
+    """
+    parts = "start" in texts.columns
     tasks = partitions(texts.sparkSession)
     shards = tasks * SHARDS
 
@@ -196,8 +216,11 @@ def candidates(texts: DataFrame, units: Units) -> DataFrame:
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, twins, found = b.column("doc_id").to_numpy(), b.column("twin").to_numpy(), []
-            for row, _, data, at in text_chunks(b.column("text")):
+            for row, end, data, at in text_chunks(b.column("text")):
                 text, start, count, key, repeats = units.runs(data, at)
+                if parts and len(text):
+                    mine = _inside(b, row, end, text, start)
+                    text, start, count, key, repeats = (x[mine] for x in (text, start, count, key, repeats))
                 if len(text):
                     found.append((ids[row + text], twins[row + text], start.astype(np.uint32), count.astype(np.uint32), key, (repeats & units.within).view(np.uint8)))
             if not found:
@@ -257,9 +280,23 @@ def _contexts(text: bytes, units: Units, start: np.ndarray, n: np.ndarray) -> li
 
 def earlier(texts: DataFrame, units: Units, judge: Judge) -> DataFrame:
     """doc_id, twin, start, n: runs of windows that also start earlier."""
+    runs = cut(candidates(texts, units))
+    hot = cut(runs.groupBy("key").count().filter(F.col("count") > HOT).select("key"))
+    keys = hot.count()
+    if not keys:
+        return judged(texts, runs, units, judge)
+    hot = F.broadcast(hot) if keys <= BROADCAST_ROWS else hot
+    stretches = runs.join(hot, "key", "left_semi").groupBy("doc_id", "twin").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
+    parts = texts.join(stretches, ["doc_id", "twin"]).select("doc_id", "twin", "text", F.col("runs.start").alias("start"), F.col("runs.n").alias("n"))
+    whole = replace(units, gram=units.window)
+    return judged(texts, runs.join(hot, "key", "left_anti"), units, judge).unionByName(judged(texts, candidates(parts, whole), whole, judge))
+
+
+def judged(texts: DataFrame, runs: DataFrame, units: Units, judge: Judge) -> DataFrame:
+    """Those of the windows in ``runs`` that start earlier, with all that have one key in one place."""
     tasks = partitions(texts.sparkSession)
     shards = tasks * SHARDS
-    found = candidates(texts, units).groupBy("doc_id", "twin").agg(F.collect_list(F.struct("start", "n", "key", "repeats")).alias("runs"))
+    found = runs.groupBy("doc_id", "twin").agg(F.collect_list(F.struct("start", "n", "key", "repeats")).alias("runs"))
     joined = texts.join(found, ["doc_id", "twin"]).select("doc_id", "twin", "text", *(F.col(f"runs.{c}").alias(c) for c in ("start", "n", "key", "repeats")))
 
     @fresh
