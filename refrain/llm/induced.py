@@ -1,14 +1,16 @@
 """External induced sorting of suffixes, with common-prefix lengths.
 
 Suffixes are ordered by their first ``depth`` symbols. Sorted S* suffixes (an
-S-type suffix after an L-type one) are seeds: their substrings are named, and
-the string of names is sorted by recursion, or in memory once it fits the budget.
-Two passes induce the rest. Each
-pass pops tuples (key, position, common prefix with the one before of that key)
+S-type suffix after an L-type one) are seeds: their substrings are named, and the string
+of names is sorted by recursion. Two passes induce the rest. Each pass pops tuples (key, position, common prefix with the one before of that key)
 from a monotone priority queue, and pushes the tuple of the position before; its
 common prefix is one more than the least one popped since the last push of the
-same key. The queue keeps its buckets on disk once they outgrow its budget, and
-a level's arrays are mapped files once they do, so memory follows the budget.
+same key. Seeds are sorted by the same two passes, run on them in text order.
+The queue keeps its buckets on disk once they outgrow its budget and gives them
+back a part at a time, and a level's arrays are mapped files once they do, so
+memory follows the budget: a bucket with several keys, of a string of names, is
+the most that is held at once. What fits the budget is sorted in memory, seeds by
+radix and names by doubling.
 """
 
 from __future__ import annotations
@@ -21,7 +23,8 @@ import numpy as np
 _BLOCK = 1 << 20
 
 
-def _array(n: int, dtype, budget: int) -> np.ndarray:
+def mapped(n: int, dtype, budget: int) -> np.ndarray:
+    """An empty array, as a mapped file if it takes more than a quarter of the budget."""
     if n * np.dtype(dtype).itemsize <= budget // 4:
         return np.empty(n, dtype=dtype)
     with tempfile.TemporaryFile() as f:  # the mapping keeps the file until it is dropped
@@ -32,7 +35,8 @@ class BucketQueue:
     """A monotone priority queue: key ranges are buckets, each a first-in-first-out list of tuples.
 
     ``take`` gives a bucket's tuples by key, those of equal keys in the order of
-    their pushes. Beyond ``budget`` bytes the tuples held move to the buckets' files.
+    their pushes. Beyond ``budget`` bytes the tuples held move to the buckets' files;
+    a bucket of one key comes back in parts, and takes further pushes meanwhile.
     """
 
     def __init__(self, keys: int, buckets: int, budget: int, dtype=np.int64):
@@ -41,6 +45,7 @@ class BucketQueue:
         self.count = -(-keys // self.width)
         self.held: dict[int, list[np.ndarray]] = {}
         self.files: dict[int, object] = {}
+        self.read: dict[int, int] = {}
         self.bytes, self.budget = 0, budget
 
     def push(self, key: np.ndarray, pos: np.ndarray, lcp: np.ndarray) -> None:
@@ -61,11 +66,23 @@ class BucketQueue:
             for b, parts in self.held.items():
                 f = self.files.setdefault(b, None) or tempfile.TemporaryFile()
                 self.files[b] = f
+                f.seek(0, 2)
                 for part in parts:
                     f.write(part.tobytes())
             self.held, self.bytes = {}, 0
 
     def take(self, bucket: int) -> np.ndarray:
+        """What the bucket holds, or its first part; nothing once it is empty."""
+        if self.width == 1 and bucket in self.files:
+            f, size = self.files[bucket], max(1, self.budget // (4 * 3 * self.dtype.itemsize)) * 3 * self.dtype.itemsize
+            at = self.read.get(bucket, 0)
+            f.seek(at)
+            rows = np.frombuffer(f.read(size), dtype=self.dtype).reshape(-1, 3)
+            if len(rows):
+                self.read[bucket] = at + rows.nbytes
+                return rows
+            self.files.pop(bucket).close()
+            self.read.pop(bucket, None)
         parts = self.held.pop(bucket, [])
         self.bytes -= sum(p.nbytes for p in parts)
         if f := self.files.pop(bucket, None):
@@ -79,7 +96,7 @@ class BucketQueue:
 def _types(t: np.ndarray, budget: int) -> np.ndarray:
     """True for S-type positions; the last symbol must be the smallest and the only one of its kind."""
     n = len(t)
-    s = _array(n, bool, budget)
+    s = mapped(n, bool, budget)
     s[n - 1] = True
     for hi in range(n - 1, 0, -_BLOCK):  # types of lo .. hi - 1, from those of hi
         lo = max(0, hi - _BLOCK)
@@ -163,18 +180,80 @@ class _Level:
             key = key << np.uint64(bits) | np.where(i < size, code, 0).astype(np.uint64)
         return key
 
-    def seeds(self) -> np.ndarray:
-        """S* positions in the order of their suffixes."""
-        parts = []
+    def _stars(self) -> Iterator[np.ndarray]:
+        """S* positions in text order, block by block."""
         for lo in range(1, self.n, _BLOCK):
             hi = min(self.n, lo + _BLOCK)
-            parts.append(np.flatnonzero(self.s[lo:hi] & ~self.s[lo - 1 : hi - 1]) + lo)
-        pos = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-        if len(pos) < 2:
+            yield np.flatnonzero(self.s[lo:hi] & ~self.s[lo - 1 : hi - 1]) + lo
+
+    def _named_on_disk(self, pos: np.ndarray, bits: int, m: int) -> tuple[np.ndarray, np.ndarray, int]:
+        """S* positions in the order of their substrings, the substrings' names in text order, and how many differ."""
+        count = len(pos)
+        # S* positions never touch, so half of one tells which it is.
+        nth = mapped(self.n // 2 + 1, np.int64, self.budget)
+        for lo in range(0, count, _BLOCK):
+            p = np.asarray(pos[lo : lo + _BLOCK])
+            nth[p >> 1] = np.arange(lo, lo + len(p))
+        order, end = mapped(count, np.int64, self.budget), count
+        for block, _ in self._sweep(((p, np.zeros(len(p), np.int64)) for p in self._stars()), False):
+            star = block[(block > 0) & self.s[block] & ~self.s[np.maximum(block - 1, 0)]]
+            order[end - len(star) : end] = star[::-1]
+            end -= len(star)
+        names, last = mapped(count, np.int64, self.budget), 0
+        for lo in range(0, count, _BLOCK):
+            p = np.asarray(order[lo : lo + _BLOCK])
+            before = np.concatenate([p[:1], p[:-1]]) if lo == 0 else np.asarray(order[lo - 1 : lo - 1 + len(p)])
+            at, other = nth[p >> 1], nth[before >> 1]
+            size, size_before = (np.where(i + 1 < count, pos[np.minimum(i + 1, count - 1)] - pos[i] + 1, 1) for i in (at, other))
+            differ = size != size_before
+            open_, done = np.flatnonzero(~differ), 0
+            while len(open_):
+                a, b = (self._piece(x[open_], size[open_], done, m, bits) for x in (p, before))
+                differ[open_[a != b]] = True
+                done += m
+                open_ = open_[(a == b) & (size[open_] > done)]
+            if lo == 0:
+                differ[0] = False
+            name = last + np.cumsum(differ)
+            names[at] = name
+            last = int(name[-1])
+        return order, names, last + 1
+
+    def seeds(self) -> np.ndarray:
+        """S* positions in the order of their suffixes."""
+        count = sum(len(p) for p in self._stars())
+        pos, end = mapped(count, np.int64, self.budget), 0
+        for p in self._stars():
+            pos[end : end + len(p)] = p
+            end += len(p)
+        if count < 2:
             return pos
-        size = np.append(np.diff(pos) + 1, 1)
         bits = int(2 * self.sigma + 1).bit_length()
         m = max(1, 64 // bits)
+        depth = -(-self.depth // 2)
+        if count * 64 > self.budget:
+            order, names, distinct = self._named_on_disk(pos, bits, m)
+            if distinct == count or depth <= 1:
+                return order
+            del order
+        else:
+            names = self._named(pos, bits, m)
+            distinct = int(names.max()) + 1
+            if distinct == count or depth <= 1:
+                return pos[np.argsort(names, kind="stable")]
+            return pos[_doubled(names, depth)]
+        level = _Level(names, distinct, depth, self.budget)
+        inner, end = mapped(count, np.int64, self.budget), count
+        for block, _ in level.descend(False):
+            inner[end - len(block) : end] = block[::-1]
+            end -= len(block)
+        for lo in range(0, count, _BLOCK):
+            inner[lo : lo + _BLOCK] = pos[inner[lo : lo + _BLOCK]]
+        return inner
+
+    def _named(self, pos: np.ndarray, bits: int, m: int) -> np.ndarray:
+        """Names of the S* substrings, equal ones alike, in memory."""
+        size = np.append(np.diff(pos) + 1, 1)
         key = self._piece(pos, size, 0, m, bits)
         order = np.argsort(key, kind="stable")
         new = np.concatenate([[True], key[order][1:] != key[order][:-1]])
@@ -197,19 +276,7 @@ class _Level:
             at += m
         used = np.zeros(len(pos) + 1, dtype=np.int64)
         used[rank + 1] = 1
-        names = np.cumsum(used)[rank]
-        distinct, depth = int(names.max()) + 1, -(-self.depth // 2)
-        if distinct == len(pos) or depth <= 1:
-            return pos[np.argsort(names, kind="stable")]
-        if len(names) * 64 <= self.budget:
-            return pos[_doubled(names, depth)]
-        level = _Level(names.astype(np.int32 if distinct < 1 << 31 else np.int64), distinct, depth, self.budget)
-        inner = _array(len(names), np.int64, self.budget)
-        end = len(names)
-        for block, _ in level.descend(False):
-            inner[end - len(block) : end] = block[::-1]
-            end -= len(block)
-        return pos[inner]
+        return np.cumsum(used)[rank]
 
     def _induce(self, queue: BucketQueue, want: bool, lcps: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Pop everything in order as (key, position, common prefix), pushing what each item induces."""
@@ -217,7 +284,7 @@ class _Level:
         last_key, last_pos = -1, -1
         for bucket in range(queue.count):
             rows, top = queue.take(bucket), (bucket + 1) * queue.width
-            while len(rows):
+            while len(rows) or queue.width == 1 and len(rows := queue.take(bucket)):
                 key, pos = rows[:, 0], rows[:, 1]
                 before = np.maximum(pos - 1, 0)
                 symbol = self.t[before].astype(np.int64)
@@ -240,7 +307,7 @@ class _Level:
                 if lcps:
                     made = self._carried(lcp, j, goes, carry)
                 # Pushes follow the order of pops; those of this bucket join what is left of it.
-                near = goes < top
+                near = goes < top if queue.width > 1 else np.zeros(len(j), dtype=bool)
                 queue.push(goes[~near], pos[j[~near]] - 1, made[~near])
                 rows = rows[m:]
                 if near.any():
@@ -269,15 +336,26 @@ class _Level:
 
     def descend(self, lcps: bool = True) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Blocks of (positions, common prefix of each with the one before), largest suffix first."""
+        seeds = self.seeds()
+
+        def blocks() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            for lo in range(0, len(seeds), _BLOCK):
+                p = np.asarray(seeds[max(lo - 1, 0) : lo + _BLOCK])
+                yield p[min(lo, 1) :], self.prefixes(p)[min(lo, 1) :] if lcps else np.zeros(len(p) - min(lo, 1), np.int64)
+
+        yield from self._sweep(blocks(), lcps)
+
+    def _sweep(self, seeds: Iterator[tuple[np.ndarray, np.ndarray]], lcps: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The two passes over blocks of (S* position, common prefix with the one before)."""
         keys = 2 * self.sigma
         buckets = min(keys, max(1024, int(self.n**0.5)))
-        seeds = self.seeds()
         dtype = np.int32 if max(keys, self.n) < 1 << 31 else np.int64
         queue = BucketQueue(keys, buckets, self.budget, dtype)
-        queue.push(2 * self.t[seeds].astype(np.int64) + 1, seeds, self.prefixes(seeds) if lcps else np.zeros(len(seeds), np.int64))
+        for p, c in seeds:
+            queue.push(2 * self.t[p].astype(np.int64) + 1, p, c)
         # The first pass leaves L suffixes in ascending order; the second wants them descending.
         total = int(self.n - np.count_nonzero(self.s))
-        l_pos, l_lcp = _array(total, np.int64, self.budget), _array(total, np.int16, self.budget)
+        l_pos, l_lcp = mapped(total, np.int64, self.budget), mapped(total, np.int16, self.budget)
         end = total
         for key, pos, lcp in self._induce(queue, False, lcps):
             kind = key & 1 == 0

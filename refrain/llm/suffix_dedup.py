@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from refrain.llm.base import batch, fresh
-from refrain.llm.induced import suffixes
+from refrain.llm.induced import mapped, suffixes
 from refrain.llm.repeats import Units, covered, intervals, keyed
 
 #: Bytes that a shard's queue may hold before it goes on on disk.
@@ -30,15 +30,14 @@ def later_windows(contexts: list[bytes], counts: list[int], window: int, budget:
     """
     size = np.fromiter(map(len, contexts), dtype=np.int64, count=len(contexts)) + 1
     begin = np.cumsum(size) - size
-    text = np.zeros(int(size.sum()) + 1, dtype=np.uint16)
-    text[:-1] = np.frombuffer(b"\x00".join([*contexts, b""]), dtype=np.uint8)
-    text[:-1] += 2
+    text = mapped(int(size.sum()) + 1, np.uint16, budget)
+    for i in range(0, len(contexts), 1 << 16):
+        a, part = int(begin[i]), np.frombuffer(b"\x00".join([*contexts[i : i + (1 << 16)], b""]), dtype=np.uint8)
+        text[a : a + len(part)] = part.astype(np.uint16) + 2
     text[begin + size - 1] = 1
-    starts = np.zeros(len(text), dtype=np.int8)
-    starts[begin] += 1
-    np.subtract.at(starts, begin + np.asarray(counts, dtype=np.int64), 1)
-    starts = np.cumsum(starts, dtype=np.int8).astype(bool)
-    later = np.zeros(len(text), dtype=bool)
+    text[-1] = 0
+    later = mapped(len(text), bool, budget)
+    later[:] = False
     least = -1  # earliest place of the class under way
     for pos, lcp in suffixes(text, 258, window, budget):
         if not len(pos):
@@ -52,12 +51,19 @@ def later_windows(contexts: list[bytes], counts: list[int], window: int, budget:
             low[0] = min(least, low[0])
         later[low] = False
         least = int(low[-1])
-    later &= starts
-    edge = np.diff(np.concatenate([[0], later.view(np.int8), [0]]))
-    first, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    which = np.searchsorted(begin, first, side="right") - 1
-    # Windows of one context never reach the next, as a context ends in bytes that start none.
-    yield which, first - begin[which], end - first
+    del text
+    stop = begin + np.asarray(counts, dtype=np.int64)
+    for i in range(0, len(begin), 1 << 16):
+        a, z = int(begin[i]), int(begin[min(i + (1 << 16), len(begin)) - 1] + size[min(i + (1 << 16), len(begin)) - 1])
+        starts = np.zeros(z - a + 1, dtype=np.int8)
+        starts[begin[i : i + (1 << 16)] - a] += 1
+        np.subtract.at(starts, stop[i : i + (1 << 16)] - a, 1)
+        hit = later[a:z] & np.cumsum(starts[:-1], dtype=np.int8).astype(bool)
+        edge = np.diff(np.concatenate([[0], hit.view(np.int8), [0]]))
+        first, end = np.flatnonzero(edge == 1) + a, np.flatnonzero(edge == -1) + a
+        which = np.searchsorted(begin, first, side="right") - 1
+        # Windows of one context never reach the next, as a context ends in bytes that start none.
+        yield which, first - begin[which], end - first
 
 
 _TEXTS = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept", pa.binary())])

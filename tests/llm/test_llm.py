@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import os
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -12,7 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from refrain.llm import bpe, decontaminate, exact_dedup, induced, language_id, license_scan, quality, queries, simhash, substring_dedup, suffix_dedup, toxicity
+from refrain.llm import bpe, decontaminate, exact_dedup, induced, language_id, license_scan, quality, queries, repeats, simhash, substring_dedup, suffix_dedup, toxicity
 
 SF = "/root/testdata/sf0.001"
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="the driver's tables aren't here")
@@ -214,6 +215,28 @@ def test_induced_sorting(budget):
             assert lcp[i] == min(same, depth)
 
 
+def test_induced_sorting_of_a_text_far_over_the_budget(monkeypatch):
+    monkeypatch.setattr(induced, "_BLOCK", 1 << 12)
+    rng = np.random.default_rng(1)
+    t = np.append(np.concatenate([rng.integers(1, 5, 150_000), np.tile(rng.integers(1, 5, 3000), 50)]), 0).astype(np.uint16)
+    tracemalloc.start()
+    got, seen, last = 0, np.zeros(len(t), dtype=bool), None
+    for pos, lcp in induced.suffixes(t, 5, 100, 1 << 16):
+        seen[pos] = True
+        got += len(pos)
+        for i in range(0, len(pos), 37):
+            before = last if i == 0 else int(pos[i - 1])
+            if before is not None:
+                a, b = t[before : before + 100].tolist(), t[pos[i] : pos[i] + 100].tolist()
+                same = next((j for j, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+                assert a >= b and lcp[i] == same
+        last = int(pos[-1]) if len(pos) else last
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # Sorted in memory, the places of the 300,000 suffixes alone would take 2.4 MB in each of a dozen arrays.
+    assert got == len(t) and seen.all() and peak < 8 << 20
+
+
 def brute_bytes(items, window):
     seen, out = set(), {}
     for i, text in sorted(items):
@@ -281,6 +304,49 @@ def test_substring_dedup(spark, window):
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in got} == brute_words(items, window)
 
 
+@pytest.mark.parametrize("kind", ["bytes", "words"])
+def test_windows_of_hot_keys_are_dealt_anew(spark, monkeypatch, kind):
+    monkeypatch.setattr(repeats, "HOT", 3)
+    rng = np.random.default_rng(12)
+    popular = "subscribe to our weekly letter of news and notes"
+    rows = [(i, f"{syllables(rng, 20)} {popular} {syllables(rng, 20)}") for i in range(30)]
+    rows += [(100 + i, rows[i][1][20:]) for i in range(0, 30, 3)] + [(200, "a" * 300)]
+    table = docs(spark, [(i, t, None) for i, t in rows])
+    runs = repeats.candidates(repeats.keyed(table, "doc_id", "text"), repeats.Units("bytes", 100, 32, True))
+    assert runs.groupBy("key").count().agg(F.max("count")).first()[0] > 3
+    if kind == "bytes":
+        got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.suffix_dedup(table, window=100).collect()}
+        want = brute_bytes(rows, 100)
+    else:
+        got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup.substring_dedup(table, window=12).collect()}
+        want = brute_words(rows, 12)
+    assert got == want and sum(w[1] for w in want.values()) > 1000 * (kind == "bytes")
+
+
+def test_subtrees_match_brute_force():
+    rng = np.random.default_rng(13)
+    for cells, most in ((1 << 20, 1 << 16), (64, 9)):
+        texts = [rng.integers(0, 3, int(rng.integers(6, 60))) for _ in range(25)]
+        texts += [np.concatenate([t[3:], t[:9]]) for t in texts[:8]]
+        owner = np.sort(rng.integers(0, 20, len(texts)))
+        words = np.concatenate([np.append(t, 100 + i) for i, t in enumerate(texts)]).astype(np.uint32)
+        suffix = np.flatnonzero(words < 100)
+        leaves, depth = substring_dedup.subtree(words, suffix, cells=cells)
+        assert sorted(leaves) == suffix.tolist()
+        for a, b, d in zip(leaves, leaves[1:], depth[1:], strict=False):
+            same = next(i for i in range(len(words)) if words[a + i] != words[b + i])
+            assert same == d and words[a + d] < words[b + d]
+        window, doc = 5, np.repeat(owner, [len(t) + 1 for t in texts])
+        reach = substring_dedup.covered_depth(doc[leaves].tolist(), depth.tolist(), window)
+        for i in range(0, len(leaves), 7):
+            common = [min(depth[min(i, j) + 1 : max(i, j) + 1]) for j in range(len(leaves)) if doc[leaves[j]] < doc[leaves[i]]]
+            assert reach[i] == max((c for c in common if c >= window), default=0)
+        contexts = [" ".join(f"w{x}" for x in t).encode() for t in texts]
+        found = {(c, a + i) for cs, firsts, ns in substring_dedup.later_windows(contexts, [len(t) - window + 1 for t in texts], owner, window, most) for c, a, n in zip(cs, firsts, ns, strict=True) for i in range(n)}
+        want = {(i, a) for i, t in enumerate(texts) for a in range(len(t) - window + 1) if any(owner[j] < owner[i] and t[a : a + window].tobytes() in {u[b : b + window].tobytes() for b in range(len(u) - window + 1)} for j, u in enumerate(texts))}
+        assert found == want
+
+
 def test_prefix_groups_split_and_lose_nothing():
     rng = np.random.default_rng(4)
     words = rng.integers(0, 3, 500).astype(np.uint32)
