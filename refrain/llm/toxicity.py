@@ -1,7 +1,7 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-Terms are all words of the examples and their beginnings of ``PREFIX`` letters.
-A term's inverse document frequency is scaled by how surely its rate differs
+Terms are all words of the examples, and those beginnings of ``PREFIX`` letters
+whose rates differ between the labels for sure. A term's inverse document frequency is scaled by how surely its rate differs
 between the labels, with a floor, so that every term counts and telling ones
 count most. The examples make a block-max inverted index: each block has its own
 postings, and each term's largest weight in the block. A query visits blocks by
@@ -176,11 +176,14 @@ def build_index(rows: list[tuple[int, int, dict[str, int]]], k: int = NEIGHBOURS
     for _, label, counts in rows:
         seen[label].update(counts.keys())
     terms = sorted(seen[0] | seen[1])
-    number = {t: i for i, t in enumerate(terms)}
     toxic, clean = (sum(r[1] == label for r in rows) for label in (1, 0))
     a, b = (np.array([seen[label][t] for t in terms], dtype=np.float64) for label in (1, 0))
     odds = np.log((a + 0.5) / (toxic + 1)) - np.log((b + 0.5) / (clean + 1))
     sure = np.abs(odds) / np.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
+    keep = (sure > SURE) | np.array([not t.endswith("-") for t in terms], dtype=bool)
+    terms, a, b, sure = [t for t, k in zip(terms, keep.tolist(), strict=True) if k], a[keep], b[keep], sure[keep]
+    number = {t: i for i, t in enumerate(terms)}
+    rows = [(i, label, {t: n for t, n in counts.items() if t in number}) for i, label, counts in rows]
     idf = np.log((len(rows) + 1) / (a + b + 1)) + 1
     with_terms, bare = [r for r in rows if r[2]], [r for r in rows if not r[2]]
     index = Index(
@@ -263,14 +266,18 @@ def score_toxicity(docs: DataFrame, index: Index, *, k: int = NEIGHBOURS, id_col
         gc.disable()  # the vocabulary has no cycles, and going through it takes long
         try:
             for b in batches:
-                rows = []
+                scores, found, near, heavy = [], [0], [], []
                 for text in _strings(b.column("text")):
                     t, n = state[0].counts(text)
                     w = index.vector(t, n)
-                    near = index.nearest(t, w, k)
-                    heavy = t[np.lexsort((t, -w))[:SHOWN]]
-                    rows.append((index.score(near), [{"doc_id": int(index.ids[p]), "label": int(index.label[p]), "cosine": c} for c, p in near], [index.terms[i] for i in heavy]))
-                yield batch(_SCORES, b.column("doc_id"), [r[0] for r in rows], pa.array([r[1] for r in rows], type=_SCORES.field("evidence").type), pa.array([r[2] for r in rows], type=_SCORES.field("terms").type))
+                    best = index.nearest(t, w, k)
+                    scores.append(index.score(best))
+                    near += best
+                    found.append(len(near))
+                    heavy.append([index.terms[i] for i in t[np.lexsort((t, -w))[:SHOWN]].tolist()])
+                place = np.array([p for _, p in near], dtype=np.int64)
+                evidence = pa.StructArray.from_arrays([pa.array(index.ids[place]), pa.array(index.label[place].astype(np.int32)), pa.array([c for c, _ in near], type=pa.float64())], fields=list(_NEAR))
+                yield batch(_SCORES, b.column("doc_id"), scores, pa.ListArray.from_arrays(pa.array(found, type=pa.int32()), evidence), pa.array(heavy, type=_SCORES.field("terms").type))
         finally:
             gc.enable()
 
