@@ -135,4 +135,3 @@ class TasteMapConfig(Settings):
     maximum_clusters: int = 12
     seeds: tuple[int, ...] = (11, 29, 47)
     density_sizes: tuple[int, ...] = (5, 10, 20)
-    density_rows: int = 5_000

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from difflib import SequenceMatcher
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,7 +24,7 @@ def blank_to_null(c: Column) -> Column:
 
 def normalized(c: Column) -> Column:
     """Lower-cased letters and digits, all else one space; null gives "". JVM-side; exact for
-    text whose compatibility form and case folding are plain lower case (see ``normalize_exact``)."""
+    text whose compatibility form and case folding are plain lower case (see ``normalized_exact``)."""
     return F.coalesce(F.trim(F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}]+", " ")), F.lit(""))
 
 
@@ -33,22 +33,35 @@ def spaced(c: Column) -> Column:
     return F.coalesce(F.trim(F.regexp_replace(F.lower(c), r"\s+", " ")), F.lit(""))
 
 
-def _full(text: str | None) -> str:
-    folded = unicodedata.normalize("NFKC", text or "").casefold()
+def _full(text: str) -> str:
+    folded = unicodedata.normalize("NFKC", text).casefold()
     return " ".join(re.sub(r"[\W_]", " ", folded).split())
 
 
 @F.pandas_udf(T.StringType())
 def _normalize(s: pd.Series) -> pd.Series:
-    return s.map(_full)
+    return s.map(lambda text: None if text is None else _full(text))
 
 
-def normalize_exact(df: DataFrame, column: str, out: str) -> DataFrame:
-    """NFKC, case-folded form of ``column``. ASCII values stay in the JVM; only the
-    distinct others pass through Python and come back by a join."""
-    ascii_ = F.col(column).isNull() | F.col(column).rlike(r"^[\x00-\x7F]*$")
-    other = df.filter(~ascii_).select(F.col(column).alias("_raw")).distinct().withColumn("_norm", _normalize("_raw"))
-    return df.join(other, F.col(column) == F.col("_raw"), "left").withColumn(out, F.coalesce("_norm", normalized(F.col(column)))).drop("_raw", "_norm")
+@F.pandas_udf(T.StringType())
+def _space(s: pd.Series) -> pd.Series:
+    return s.map(lambda text: None if text is None else " ".join(unicodedata.normalize("NFKC", text).casefold().split()))
+
+
+def _by_alphabet(c: Column, plain: Callable[[Column], Column], full: Callable[[Column], Column]) -> Column:
+    """``plain`` for ASCII text, in the JVM; the others alone are sent to Python as text."""
+    ascii_ = F.coalesce(c.rlike(r"^[\x00-\x7F]*$"), F.lit(True))
+    return F.when(ascii_, plain(c)).otherwise(F.coalesce(full(F.when(~ascii_, c)), F.lit("")))
+
+
+def normalized_exact(c: Column) -> Column:
+    """``normalized`` by compatibility form (NFKC) and full case folding, for any alphabet."""
+    return _by_alphabet(c, normalized, _normalize)
+
+
+def spaced_exact(c: Column) -> Column:
+    """``spaced`` by compatibility form (NFKC) and full case folding, for any alphabet."""
+    return _by_alphabet(c, spaced, _space)
 
 
 @F.pandas_udf(T.DoubleType())
@@ -76,6 +89,12 @@ def track_uri(c: Column) -> Column:
     return F.when(value.rlike(TRACK_URI), value).when(value.rlike(r"^[A-Za-z0-9]{22}$"), F.concat(F.lit("spotify:track:"), value)).when(linked != "", F.concat(F.lit("spotify:track:"), linked))
 
 
+def dump_provider(name: str) -> str:
+    """The provider that a bulk dump's file name tells: its date and time, or else that it is local."""
+    at = re.search(r"([0-9]{8})-([0-9]{6})", name.replace("\\", "/").rsplit("/", 1)[-1])
+    return f"musicbrainz_canonical_dump_{at[1]}_{at[2]}" if at else "musicbrainz_canonical_dump_local"
+
+
 def mbids(c: Column) -> Column:
     return F.transform(F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(f"({MBID})"), 1), F.lower)
 

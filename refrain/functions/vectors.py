@@ -21,8 +21,12 @@ def norm(a: Column) -> Column:
 
 
 def unit(a: Column) -> Column:
-    """The vector over its length; null if that is zero."""
-    return F.transform(a, lambda x: x / F.nullif(norm(a), F.lit(0.0)))
+    """The vector over its length; null elements if that is zero. The length is taken once."""
+    return F.zip_with(a, F.array_repeat(F.nullif(norm(a), F.lit(0.0)), F.size(a)), lambda x, n: x / n)
+
+
+#: Rows of keys or queries that may be broadcast, once counted.
+BROADCAST_ROWS = 1 << 20
 
 
 def clamp(c: Column) -> Column:

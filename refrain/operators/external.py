@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from refrain.functions.text import mbids, normalized, spaced
+from refrain.functions.text import combined_lookup, mbids, normalized_exact, spaced_exact
 
 
 def canonical_map(queries: DataFrame, dump: DataFrame) -> DataFrame:
@@ -15,13 +15,17 @@ def canonical_map(queries: DataFrame, dump: DataFrame) -> DataFrame:
     their normalised names agree on; a query with several recordings is left out.
 
     ``dump`` has the canonical columns and a ``row`` order. A release, where the
-    query names one, must agree too. Of a recording's rows the one with the
-    highest score stands for it, the first of equals.
+    query names one, must agree too. If the dump has ``combined_lookup``, a row counts
+    only where that or the artist's name as given (without case) agrees as well. Of a
+    recording's rows the one with the highest score stands for it, the first of equals.
     """
-    q = queries.select("track_id", normalized(F.col("artist_name")).alias("ka"), normalized(F.col("track_name")).alias("kt"), normalized(F.col("album_name")).alias("kr")).filter("ka <> '' AND kt <> ''")
-    d = dump.select("*", normalized(F.col("artist_credit_name")).alias("ka"), normalized(F.col("recording_name")).alias("kt"), normalized(F.col("release_name")).alias("dr"))
+    form = normalized_exact
+    q = queries.select("track_id", form(F.col("artist_name")).alias("ka"), form(F.col("track_name")).alias("kt"), form(F.col("album_name")).alias("kr"), combined_lookup("artist_name", "track_name").alias("kc"), F.lower("artist_name").alias("kn")).filter("ka <> '' AND kt <> ''")
+    d = dump.select("*", form(F.col("artist_credit_name")).alias("ka"), form(F.col("recording_name")).alias("kt"), form(F.col("release_name")).alias("dr"))
     wanted = q.select("ka", "kt").distinct()
     hits = q.join(d.join(wanted, ["ka", "kt"], "left_semi"), ["ka", "kt"]).filter("kr = '' OR kr = dr")
+    if "combined_lookup" in dump.columns:
+        hits = hits.filter((F.lower("combined_lookup") == F.col("kc")) | (F.lower("artist_credit_name") == F.col("kn")))
     best = Window.partitionBy("track_id", F.lower("recording_mbid")).orderBy(F.desc("score"), "row")
     one = hits.withColumn("_n", F.row_number().over(best)).filter("_n = 1")
     counted = one.withColumn("recordings", F.count(F.lit(1)).over(Window.partitionBy("track_id"))).filter("recordings = 1")
@@ -33,7 +37,7 @@ def resolve_external(queries: DataFrame, mapped: DataFrame, *, minimum_confidenc
     suffices, else fuzzy; a query without mapping is unmatched."""
     m = mapped.select("track_id", "recording_mbid", "recording_name", "artist_credit_name", "release_name", "confidence" if "confidence" in mapped.columns else F.lit(1.0).alias("confidence"))
     rows = queries.join(m, "track_id", "left")
-    same = (normalized(F.col("track_name")) == normalized(F.col("recording_name"))) & (normalized(F.col("artist_name")) == normalized(F.col("artist_credit_name"))) & ((normalized(F.col("album_name")) == "") | (normalized(F.col("album_name")) == normalized(F.col("release_name"))))
+    same = (normalized_exact(F.col("track_name")) == normalized_exact(F.col("recording_name"))) & (normalized_exact(F.col("artist_name")) == normalized_exact(F.col("artist_credit_name"))) & ((normalized_exact(F.col("album_name")) == "") | (normalized_exact(F.col("album_name")) == normalized_exact(F.col("release_name"))))
     status = F.when(F.col("recording_mbid").isNull(), "unmatched").when(F.coalesce(same, F.lit(False)) & (F.col("confidence") >= minimum_confidence), "exact").otherwise("fuzzy")
     return rows.withColumn("match_status", status)
 
@@ -84,8 +88,8 @@ def corroborated(targets: DataFrame, info: DataFrame, *, key: str = "spotify_id"
     one = i.filter("_n = 1").drop("_n")
     many = i.filter("_n > 1").select(key).distinct().withColumn("_many", F.lit(True))
     rows = targets.join(one, key, "left").join(many, key, "left")
-    album = (spaced(F.col("album_name")) == "") | (spaced(F.col("i_album")) == "") | (spaced(F.col("album_name")) == spaced(F.col("i_album")))
-    same = (spaced(F.col("track_name")) == spaced(F.col("i_name"))) & (spaced(F.col("artist_name")) == spaced(F.col("i_artist"))) & album
+    album = (spaced_exact(F.col("album_name")) == "") | (spaced_exact(F.col("i_album")) == "") | (spaced_exact(F.col("album_name")) == spaced_exact(F.col("i_album")))
+    same = (spaced_exact(F.col("track_name")) == spaced_exact(F.col("i_name"))) & (spaced_exact(F.col("artist_name")) == spaced_exact(F.col("i_artist"))) & album
     reason = F.when(F.col("_many"), "ambiguous_id").when(F.col("external_id").isNull(), "not_found").when(same, "matched").otherwise("metadata_mismatch")
     return rows.withColumn("reason", reason).drop("_many", "i_name", "i_artist", "i_album")
 
@@ -98,3 +102,23 @@ def feature_coverage(observations: DataFrame, tracks: DataFrame) -> DataFrame:
     sums = have.groupBy("feature_name").agg(F.count(F.lit(1)).alias("tracks"), F.sum("play_count").alias("plays"), F.sum("total_ms_played").alias("ms"))
     joined = sums.crossJoin(F.broadcast(total))  # a single row
     return joined.select("feature_name", "tracks", *(F.round(F.col(a) / F.col(b), 6).alias(f"{n}_rate") for a, b, n in (("tracks", "_t", "track"), ("plays", "_p", "play"), ("ms", "_m", "ms"))))
+
+
+def import_embeddings(targets: DataFrame, info: DataFrame, embeddings: DataFrame, *, name: str, source: str, version: str, confidence: float, coverage_seconds: float = 30.0) -> tuple[DataFrame, DataFrame]:
+    """(observations, audit): embeddings (external_id, embedding) of the targets that ``info``
+    corroborates, as vector features; the audit counts targets by reason, ``no_embedding`` among them."""
+    rows = corroborated(targets, info).join(embeddings, "external_id", "left")
+    reason = F.when((F.col("reason") == "matched") & F.col("embedding").isNull(), "no_embedding").otherwise(F.col("reason"))
+    rows = rows.withColumn("reason", reason)
+    found = rows.filter("reason = 'matched'").select(
+        "track_id",
+        F.lit(name).alias("feature_name"),
+        F.lit(source).alias("feature_source"),
+        F.lit(version).alias("source_version"),
+        F.lit(None).cast("double").alias("value_number"),
+        F.lit(None).cast("string").alias("value_text"),
+        F.col("embedding").cast("array<double>").alias("value_vector"),
+        F.lit(coverage_seconds).alias("coverage_seconds"),
+        F.lit(confidence).alias("feature_confidence"),
+    )
+    return found, rows.groupBy("reason").agg(F.count(F.lit(1)).alias("targets"))

@@ -6,16 +6,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from refrain.config import IdentityPolicy
-from refrain.functions.text import normalize_exact, normalized, similarity_ratio
+from refrain.functions.text import normalized, normalized_exact, similarity_ratio
 
 _CANDIDATE = ("track_uri", "track_name", "artist_name", "album_name", "similarity_score", "catalog_source")
 
 
-def with_keys(df: DataFrame, exact_unicode: bool = False) -> DataFrame:
+def with_keys(df: DataFrame, exact_unicode: bool = True) -> DataFrame:
     """Adds the normal forms ``k_title``, ``k_artist``, ``k_album``."""
-    for column, key in (("track_name", "k_title"), ("artist_name", "k_artist"), ("album_name", "k_album")):
-        df = normalize_exact(df, column, key) if exact_unicode else df.withColumn(key, normalized(F.col(column)))
-    return df
+    form = normalized_exact if exact_unicode else normalized
+    return df.withColumns({key: form(F.col(column)) for column, key in (("track_name", "k_title"), ("artist_name", "k_artist"), ("album_name", "k_album"))})
 
 
 def catalog_source(df: DataFrame) -> DataFrame:
@@ -67,12 +66,13 @@ def fuzzy_scores(queries: DataFrame, catalog: DataFrame, policy: IdentityPolicy)
     return joined.withColumn("similarity_score", total).filter(F.col("similarity_score") >= policy.fuzzy_title_threshold)
 
 
-def resolve_identities(queries: DataFrame, catalog: DataFrame, policy: IdentityPolicy | None = None, *, fuzzy: bool = True, exact_unicode: bool = False) -> DataFrame:
+def resolve_identities(queries: DataFrame, catalog: DataFrame, policy: IdentityPolicy | None = None, *, fuzzy: bool = True, exact_unicode: bool = True) -> DataFrame:
     """Resolve every query (unique source_track_id; track_uri, track_name, artist_name,
     album_name) against the catalogue by the first tier that decides.
 
     Tiers: an own URI; title, artist and album; title and artist; near titles of
-    the same artist. Only exact matches resolve.
+    the same artist. Only exact matches resolve. Without ``exact_unicode`` names
+    are compared in plain lower case, all in the JVM.
     """
     policy = policy or IdentityPolicy()
     q = with_keys(queries, exact_unicode)

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from refrain.functions.vectors import clamp, dot, doubles, unit, weighted_query
+from refrain.functions.vectors import BROADCAST_ROWS, clamp, dot, doubles, norm, weighted_query
 from refrain.operators.features import Selector
 
 
@@ -101,10 +101,11 @@ def query(vectors: DataFrame, seeds: DataFrame, *, top_k: int, observations: Dat
         chosen = chosen.select("embedding", "weight").unionByName(seeds.sparkSession.range(1).select(F.array(*(F.lit(float(v)) for v in extra_query)).cast(dict(vectors.dtypes)["embedding"]).alias("embedding"), F.lit(1.0).alias("weight")))
     target = weighted_query(chosen, "embedding", "weight")
     if exclude_seeds:
-        usable = usable.join(seeds.select("track_id"), "track_id", "left_anti")
+        ids = seeds.select("track_id").distinct()
+        usable = usable.join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, "track_id", "left_anti")
     rows = with_filters(usable, observations, filters).filter(passes(filters)) if filters else usable
     scored = rows.crossJoin(F.broadcast(target))  # one row
-    scored = scored.withColumn("cosine_similarity", clamp(dot(F.col("query"), unit(F.col("_e")))))
+    scored = scored.withColumn("cosine_similarity", clamp(dot(F.col("query"), F.col("_e")) / F.nullif(norm(F.col("_e")), F.lit(0.0))))
     top = scored.filter(F.col("cosine_similarity").isNotNull()).orderBy(F.desc("cosine_similarity"), "track_id").limit(top_k)
     ranked = top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("cosine_similarity"), "track_id")))
     return ranked.select("rank", "track_id", "cosine_similarity", "feature_confidence", evidence(filters).alias("evidence")) if filters else ranked.select("rank", "track_id", "cosine_similarity", "feature_confidence")

@@ -44,25 +44,6 @@ def with_periods(events: DataFrame, cfg: TemporalConfig) -> DataFrame:
     return anchored.withColumn("_anchor", anchor).withColumn("period_index", F.floor(days / cfg.period_days).cast("int")).drop("_first")
 
 
-def labelled_events(events: DataFrame, cfg: TemporalConfig) -> DataFrame:
-    """Track events with period, outcome and start signals and the artist they count for.
-
-    An event without artist takes its track's last known one of the period, or
-    else the one carried from earlier periods.
-    """
-    rows = with_periods(events, cfg).filter(F.col("media_type") == "track")
-    rows = rows.withColumns({"outcome": signals.liked(F.col("ms_played"), F.col("reason_end"), F.col("skipped"), cfg), "meant": signals.started_on_purpose(F.col("reason_start"), cfg)})
-    within = Window.partitionBy("track_id", "period_index")
-    known = F.last("artist", ignorenulls=True).over(within.orderBy("played_at", "event_id").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    rows = rows.withColumn("_in_period", known)
-    # State after an event is its own artist, else the current one; with nulls that is the last known by then.
-    ordered = Window.partitionBy("track_id").orderBy("played_at", "event_id").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.last("artist", ignorenulls=True).over(ordered)
-    first_in_period = F.first(F.struct(F.col("_before").alias("v"))).over(within.orderBy("played_at", "event_id").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    rows = rows.withColumn("_before", before).withColumn("current_artist", F.coalesce("_in_period", first_in_period["v"]))
-    return rows.withColumn("event_artist", F.coalesce("artist", "current_artist")).drop("_in_period", "_before")
-
-
 def _totals() -> list[Column]:
     outcome, meant = F.col("outcome"), F.col("meant")
     return [
@@ -106,13 +87,41 @@ def behavior_vector(track: dict[str, Column], artist: dict[str, Column], as_of_u
     return {name: F.round(v, digits) for name, v in zip(FEATURES, values, strict=True)}
 
 
-def period_votes(events: DataFrame, cfg: TemporalConfig) -> DataFrame:
-    """(track, period) rows with votes, label (null: abstained) and weight."""
-    sums = labelled_events(events, cfg).withColumn("_us", micros(F.col("played_at"))).groupBy("track_id", "period_index").agg(*_totals(), F.max("current_artist").alias("current_artist"), F.max("_anchor").alias("_anchor"))
+def period_sums(events: DataFrame, cfg: TemporalConfig) -> DataFrame:
+    """Sums of the track events by track, period and artist as given, with the time of the last one."""
+    rows = with_periods(events, cfg).filter(F.col("media_type") == "track")
+    rows = rows.withColumns({"outcome": signals.liked(F.col("ms_played"), F.col("reason_end"), F.col("skipped"), cfg), "meant": signals.started_on_purpose(F.col("reason_start"), cfg), "_us": micros(F.col("played_at"))})
+    return rows.groupBy("track_id", "period_index", "artist").agg(*_totals(), F.max(F.struct("played_at", "event_id")).alias("_last"), F.max("_anchor").alias("_anchor"))
+
+
+def _added() -> list[Column]:
+    return [*(F.sum(n).alias(n) for n in _SUMS), F.min("first_us").alias("first_us"), F.max("last_us").alias("last_us")]
+
+
+def track_periods(sums: DataFrame) -> DataFrame:
+    """(track, period) sums with ``current_artist``: the track's last known one of the
+    period, or else the one carried from earlier periods."""
+    known = F.max_by("artist", F.when(F.col("artist").isNotNull(), F.col("_last")))
+    rows = sums.groupBy("track_id", "period_index").agg(*_added(), known.alias("_known"), F.max("_anchor").alias("_anchor"))
+    until = Window.partitionBy("track_id").orderBy("period_index").rowsBetween(Window.unboundedPreceding, 0)
+    return rows.withColumn("current_artist", F.last("_known", ignorenulls=True).over(until)).drop("_known")
+
+
+def with_event_artist(sums: DataFrame, periods: DataFrame) -> DataFrame:
+    """Adds ``event_artist``, the artist that events without one count for as well."""
+    return sums.join(periods.select("track_id", "period_index", "current_artist"), ["track_id", "period_index"]).withColumn("event_artist", F.coalesce("artist", "current_artist"))
+
+
+def _votes(periods: DataFrame, cfg: TemporalConfig) -> DataFrame:
     known = F.col("positives") + F.col("negatives")
     rate = F.col("positives") / known
     label = F.when(known >= cfg.minimum_labeled_events, F.when(rate >= cfg.positive_fraction_threshold, 1).when(rate <= cfg.negative_fraction_threshold, 0))
-    return sums.withColumns({"label": label.cast("int"), "outcome_positive_rate": F.round(F.when(known > 0, rate), 8), "sample_weight": F.round(F.least(F.lit(cfg.maximum_sample_weight), F.sqrt(known)), 8)})
+    return periods.withColumns({"label": label.cast("int"), "outcome_positive_rate": F.round(F.when(known > 0, rate), 8), "sample_weight": F.round(F.least(F.lit(cfg.maximum_sample_weight), F.sqrt(known)), 8)})
+
+
+def period_votes(events: DataFrame, cfg: TemporalConfig) -> DataFrame:
+    """(track, period) rows with votes, label (null: abstained) and weight."""
+    return _votes(track_periods(period_sums(events, cfg)), cfg)
 
 
 def split_counts(periods: int, cfg: TemporalConfig) -> tuple[int, int]:
@@ -142,7 +151,7 @@ def with_split(labelled: DataFrame, cfg: TemporalConfig) -> DataFrame:
 def _artist_prior(rows: DataFrame, votes: DataFrame, cfg: TemporalConfig) -> DataFrame:
     """(current_artist, period_index, track_id) with the artist's prior sums."""
     names = ("plays", "positives", "negatives")
-    by_track = rows.filter(F.col("event_artist").isNotNull()).groupBy("event_artist", "period_index", "track_id").agg(*_totals())
+    by_track = rows.filter(F.col("event_artist").isNotNull()).groupBy("event_artist", "period_index", "track_id").agg(*_added())
     if cfg.artist_prior == "reference":
         order = Window.partitionBy("event_artist").orderBy("period_index", "track_id").rowsBetween(Window.unboundedPreceding, -1)
         prior = by_track.select("event_artist", "period_index", "track_id", *(F.sum(n).over(order).alias(f"artist_{n}") for n in names))
@@ -156,8 +165,9 @@ def _artist_prior(rows: DataFrame, votes: DataFrame, cfg: TemporalConfig) -> Dat
 def temporal_samples(events: DataFrame, cfg: TemporalConfig | None = None) -> DataFrame:
     """Labelled (track, period) samples with the behaviour known before the period."""
     cfg = cfg or TemporalConfig()
-    rows = labelled_events(events, cfg).withColumn("_us", micros(F.col("played_at")))
-    votes = period_votes(events, cfg)
+    sums = period_sums(events, cfg)
+    periods = track_periods(sums)
+    votes, rows = _votes(periods, cfg), with_event_artist(sums, periods)
     before = Window.partitionBy("track_id").orderBy("period_index").rowsBetween(Window.unboundedPreceding, -1)
     prior = {n: F.sum(n).over(before).alias(f"prior_{n}") for n in _SUMS} | {"first_us": F.min("first_us").over(before).alias("prior_first_us"), "last_us": F.max("last_us").over(before).alias("prior_last_us")}
     state = votes.select("*", *prior.values())
@@ -187,11 +197,11 @@ def temporal_samples(events: DataFrame, cfg: TemporalConfig | None = None) -> Da
 def behavior_snapshots(events: DataFrame, cfg: TemporalConfig | None = None) -> DataFrame:
     """Every track's vector just after the last event (of any medium)."""
     cfg = cfg or TemporalConfig()
-    rows = labelled_events(events, cfg).withColumn("_us", micros(F.col("played_at")))
+    sums = period_sums(events, cfg)
+    rows = with_event_artist(sums, track_periods(sums))
     as_of = events.agg((F.max(micros(F.col("played_at"))) + 1000).alias("as_of_us"))
-    order = F.struct("played_at", "event_id")
-    tracks = rows.groupBy("track_id").agg(*_totals(), F.max_by("event_artist", order).alias("artist_key"))
-    artists = rows.filter(F.col("event_artist").isNotNull()).groupBy(F.col("event_artist").alias("artist_key")).agg(F.count(F.lit(1)).alias("artist_plays"), F.count_if(F.col("outcome")).alias("artist_positives"), F.count_if(~F.col("outcome")).alias("artist_negatives"))
+    tracks = rows.groupBy("track_id").agg(*_added(), F.max_by("event_artist", "_last").alias("artist_key"))
+    artists = rows.filter(F.col("event_artist").isNotNull()).groupBy(F.col("event_artist").alias("artist_key")).agg(*(F.sum(n).alias(f"artist_{n}") for n in ("plays", "positives", "negatives")))
     joined = tracks.join(artists, "artist_key", "left").crossJoin(F.broadcast(as_of))  # a single row
     vector = behavior_vector({n: F.col(n) for n in (*_SUMS, "first_us", "last_us")}, {n: F.col(f"artist_{n}") for n in ("plays", "positives", "negatives")}, F.col("as_of_us"), cfg)
     return joined.select("track_id", "artist_key", F.timestamp_micros("as_of_us").alias("as_of"), *(c.alias(n) for n, c in vector.items()), F.lit(cfg.dataset_version).alias("dataset_version"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from typing import Any
 
 from pyspark.ml.classification import LogisticRegression
@@ -13,15 +14,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from refrain.operators import metrics
+from refrain.operators.features import Selector, representation
 from refrain.operators.ranking import LinearModel
 from refrain.operators.temporal import FEATURES
 
-#: Feature variants, the simplest first.
-VARIANTS: dict[str, tuple[str, ...]] = {
-    "repeat_recency": ("prior_log_play_count", "prior_recency_score"),
-    "artist": FEATURES[10:],
-    "behavior": FEATURES,
-}
+@dataclass(frozen=True)
+class Variant:
+    """Which inputs a model sees, and whether it is fitted on tracks with a whole audio profile alone."""
+
+    name: str
+    behavior: tuple[str, ...] = ()
+    descriptors: bool = False
+    embedding: bool = False
+    matched: bool = False
+
+
+def variants(descriptors: bool, embedding: bool) -> list[Variant]:
+    """All variants that the inputs allow, the baselines first."""
+    out = [Variant("repeat_recency_baseline", ("prior_log_play_count", "prior_recency_score")), Variant("artist_baseline", FEATURES[10:]), Variant("behavior_all", FEATURES)]
+    audio = {"descriptors": (True, False)} if descriptors else {}
+    audio |= {"embedding": (False, True)} if embedding else {}
+    if audio:
+        out.append(Variant("behavior_matched", FEATURES, matched=True))
+    for kind, (d, e) in audio.items():
+        out += [Variant(f"{kind}_only", (), d, e, True), Variant(f"behavior_{kind}", FEATURES, d, e, True)]
+    if len(audio) == 2:
+        out += [Variant("audio_full", (), True, True, True), Variant("full_combined", FEATURES, True, True, True)]
+    return out
 
 
 def fit_logistic(train: DataFrame, names: Sequence[str], *, label: str = "label", weight: str = "sample_weight", c: float = 1.0) -> LinearModel:
@@ -54,35 +73,86 @@ def evaluate(predictions: DataFrame, k: int = 10) -> dict[str, Any]:
     return {k2: v for part in parts for k2, v in part.first().asDict().items()}
 
 
-def train_variants(samples: DataFrame, variants: Mapping[str, Sequence[str]] | None = None, *, k: int = 10, c: float = 1.0) -> dict[str, tuple[LinearModel, dict[str, Any]]]:
-    """Fit each variant on the training split and evaluate it on validation."""
-    train, validation = (samples.filter(F.col("split") == s) for s in ("train", "validation"))
-    out = {}
-    for name, columns in (variants or VARIANTS).items():
-        model = fit_logistic(train, columns, c=c)
-        out[name] = (model, evaluate(predict(validation, model, name), k))
-    return out
+@dataclass(frozen=True)
+class Fitted:
+    """What became of a variant: its model and metrics, or the reason why it was skipped."""
+
+    variant: Variant
+    features: tuple[str, ...]
+    rows: dict[str, int]
+    model: LinearModel | None = None
+    validation: dict[str, Any] | None = None
+    test: dict[str, Any] | None = None
+    reason: str | None = None
+
+    @property
+    def merit(self) -> tuple[float, float, str]:
+        v = self.validation or {}
+        return (v.get("ndcg_at_k") or 0.0, v.get("average_precision") or 0.0, self.variant.name)
 
 
-def select_variant(samples: DataFrame, fitted: Mapping[str, tuple[LinearModel, dict[str, Any]]], *, k: int = 10) -> tuple[str, dict[str, dict[str, float]]]:
-    """The best on validation by NDCG, average precision and name; a simpler variant
-    replaces it unless the best is surely better (its bootstrap interval lies above zero)."""
-
-    def merit(name: str) -> tuple[float, float, str]:
-        m = fitted[name][1]
-        return (m["ndcg_at_k"] or 0.0, m["average_precision"] or 0.0, name)
-
-    best = max(fitted, key=merit)
-    validation = samples.filter(F.col("split") == "validation")
-    compared = {}
-    for name in sorted(fitted, key=lambda n: len(fitted[n][0].names)):
-        if len(fitted[name][0].names) >= len(fitted[best][0].names):
-            continue
-        result = metrics.bootstrap(metrics.paired_deltas(predict(validation, fitted[name][0], name), predict(validation, fitted[best][0], best), k=k))
-        compared[name] = result
-        if result["low"] <= 0:
-            return name, compared
-    return best, compared
+def with_audio(samples: DataFrame, observations: DataFrame, descriptors: Sequence[Selector], embedding: Selector | None, minimum_confidence: float = 0.0) -> tuple[DataFrame, list[str], list[str]]:
+    """Samples with a column for each descriptor and embedding element, null unless the
+    track has all of the profile, and the names of both kinds of columns."""
+    wide = representation(observations, descriptors, embedding, minimum_confidence=minimum_confidence)
+    size = wide.agg(F.max(F.size("embedding")).alias("n")).first().n or 0 if embedding else 0
+    d, e = [f"descriptor_{i}" for i in range(len(descriptors))], [f"embedding_{i}" for i in range(size)]
+    columns = [F.col("descriptors")[i].cast("double").alias(n) for i, n in enumerate(d)] + [F.col("embedding")[i].cast("double").alias(n) for i, n in enumerate(e)]
+    return samples.join(wide.select("track_id", *columns), "track_id", "left"), d, e
+
+
+def train_taste_models(samples: DataFrame, *, observations: DataFrame | None = None, descriptors: Sequence[Selector] = (), embedding: Selector | None = None, minimum_confidence: float = 0.0, k: int = 10, c: float = 1.0) -> tuple[list[Fitted], Fitted, dict[str, dict[str, float]]]:
+    """(every variant, the selected one, bootstrap comparisons with the best).
+
+    Each variant is fitted on the training split and evaluated on the others. Audio
+    variants, and the behaviour model they are compared with, see the tracks with the
+    whole profile; one of that cohort is selected if there is a profile.
+    """
+    d: list[str] = []
+    e: list[str] = []
+    rows = samples
+    if observations is not None and (descriptors or embedding):
+        rows, d, e = with_audio(samples, observations, descriptors, embedding, minimum_confidence)
+    rows = rows.cache()
+    out = [fit_variant(rows, v, d, e, k=k, c=c) for v in variants(bool(d), bool(e))]
+    trained = [f for f in out if f.model]
+    if not trained:
+        raise ValueError("no variant has two labels in training and rows in every split")
+    cohort = [f for f in trained if f.variant.matched == bool(d or e)] or trained
+    chosen, compared = select_variant(rows, cohort, k=k)
+    return out, chosen, compared
+
+
+def _seen(rows: DataFrame, variant: Variant, names: Sequence[str], audio: Sequence[str]) -> DataFrame:
+    return rows.na.drop(subset=list(names) + (list(audio) if variant.matched else []))
+
+
+def fit_variant(rows: DataFrame, variant: Variant, d: Sequence[str], e: Sequence[str], *, k: int = 10, c: float = 1.0) -> Fitted:
+    names = (*variant.behavior, *(d if variant.descriptors else ()), *(e if variant.embedding else ()))
+    mine = _seen(rows, variant, names, (*d, *e))
+    found = {r.split: r for r in mine.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("label").alias("labels")).collect()}
+    counts = {s: found[s].n if s in found else 0 for s in ("train", "validation", "test")}
+    reason = "a split has no covered samples" if not all(counts.values()) else "the training split has one label alone" if found["train"].labels < 2 else None
+    if reason:
+        return Fitted(variant, names, counts, reason=reason)
+    model = fit_logistic(mine.filter("split = 'train'"), names, c=c)
+    validation, test = (evaluate(predict(mine.filter(F.col("split") == s), model, variant.name), k) for s in ("validation", "test"))
+    return Fitted(variant, names, counts, model, validation, test)
+
+
+def select_variant(rows: DataFrame, cohort: Sequence[Fitted], *, k: int = 10) -> tuple[Fitted, dict[str, dict[str, float]]]:
+    """The best on validation by NDCG, average precision and name; of those it isn't surely
+    better than (the bootstrap interval of its lift reaches zero) and itself, the simplest."""
+    best = max(cohort, key=lambda f: f.merit)
+    audio = [c for c in rows.columns if c.startswith(("descriptor_", "embedding_"))]
+
+    def predicted(f: Fitted) -> DataFrame:
+        return predict(_seen(rows, f.variant, f.features, audio).filter("split = 'validation'"), f.model, f.variant.name)
+
+    compared = {f.variant.name: metrics.bootstrap(metrics.paired_deltas(predicted(f), predicted(best), k=k)) for f in cohort if f is not best}
+    tied = [best, *(f for f in cohort if f is not best and compared[f.variant.name]["low"] <= 0)]
+    fewest = min(len(f.features) for f in tied)
+    return max((f for f in tied if len(f.features) == fewest), key=lambda f: f.merit), compared
 
 
 def to_json(model: LinearModel) -> dict[str, Any]:

@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refrain.config import AffinityConfig, RankingConfig, TasteMapConfig, TemporalConfig
+from refrain.config import AffinityConfig, RankingConfig, TemporalConfig
 from refrain.functions import signals, text
 from refrain.functions.vectors import pooled, weighted_query
-from refrain.operators import behavior, clustering, external, features, identity, metrics, ranking, similarity, temporal, training
+from refrain.operators import acoustic, behavior, clustering, external, features, identity, metrics, ranking, similarity, temporal, training
 from refrain.plans.adapter import EVENTS_SQL, PERIODS, PREDICTIONS_SQL, catalog, events, predictions, table, vectors
+from refrain.sources import history
 from refrain.sources.history import dedup_first
 from refrain.sources.sinks import batches, feedback, merge_feedback
 
@@ -37,24 +38,51 @@ def _r(c: F.Column | str, digits: int = 6) -> F.Column:
 # --- ingest -------------------------------------------------------------------------------------
 
 
-@query(f"""WITH {EVENTS_SQL} SELECT event_id, strftime(played_at, '%Y-%m-%dT%H:%M:%S.%gZ') AS played_at, media_type, ms_played, track_id,
-  sha256(concat_ws(chr(31), CAST(event_id AS VARCHAR), media_type, CAST(ms_played AS VARCHAR))) AS event_key FROM ev""")
-def ingest_events(spark: SparkSession, sf: str) -> DataFrame:
+def _history(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as raw history records, some of them bad: one JSON text each."""
     e = events(spark, sf)
-    key = text.digest_id(F.col("event_id").cast("string"), F.col("media_type"), F.col("ms_played").cast("string"))
-    return e.select("event_id", text.timestamp_text(F.col("played_at")).alias("played_at"), "media_type", "ms_played", "track_id", key.alias("event_key"))
+    kind, k = F.col("event_type"), F.substring("track_id", 2, 9).cast("int")
+    record = F.struct(
+        F.date_format("played_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("ts"),
+        F.when(F.col("event_id") % 17 == 0, -1).otherwise(F.col("ms_played")).alias("ms_played"),
+        F.when(k % 7 == 0, F.concat(F.lit("spotify:track:"), F.lpad(k.cast("string"), 22, "0"))).when(k % 7 == 1, "not a uri").alias("spotify_track_uri"),
+        F.when(kind.isin("view", "click", "purchase"), F.concat(F.lit(" Song "), k)).alias("master_metadata_track_name"),
+        F.when(kind.isin("view", "click", "purchase"), F.col("artist")).alias("master_metadata_album_artist_name"),
+        F.when((kind == "signup") | (F.col("event_id") % 19 == 0), F.concat(F.lit("Talk "), "user_id")).alias("episode_name"),
+        "reason_start",
+        "reason_end",
+        "skipped",
+    )
+    return history.normalize(history.parse(e.select(F.lit("f").alias("source_file"), F.col("event_id").alias("source_record_index"), F.to_json(record).alias("record"))))
+
+
+_HISTORY_SQL = f"""{EVENTS_SQL},
+  hi AS (SELECT event_id, strftime(played_at, '%Y-%m-%dT%H:%M:%S.000Z') AS ts, CASE WHEN event_id % 17 = 0 THEN -1 ELSE ms_played END AS ms, CASE WHEN k % 7 = 0 THEN 'spotify:track:' || lpad(CAST(k AS VARCHAR), 22, '0') WHEN k % 7 = 1 THEN 'not a uri' END AS uri,
+    CASE WHEN is_track THEN 'Song ' || k END AS title, artist, CASE WHEN event_type = 'signup' OR event_id % 19 = 0 THEN 'Talk ' || user_id END AS talk, reason_start, reason_end, skipped
+    FROM (SELECT event_id, played_at, ms_played, CASE WHEN track_id IS NOT NULL THEN k END AS k, track_id IS NOT NULL AS is_track, artist, event_type, user_id, reason_start, reason_end, skipped FROM ev)),
+  hm AS (SELECT *, CASE WHEN title IS NOT NULL AND talk IS NOT NULL THEN NULL WHEN title IS NOT NULL THEN 'track' WHEN talk IS NOT NULL THEN 'episode' ELSE 'unknown' END AS media FROM hi),
+  hc AS (SELECT *, CASE WHEN ms < 0 THEN 'invalid_ms_played' WHEN uri = 'not a uri' THEN 'invalid_spotify_uri' WHEN media IS NULL THEN 'ambiguous_media_type' END AS code FROM hm)"""
+
+
+_QUOTED = "coalesce('\"' || {} || '\"', 'null')"
+
+
+@query(f"""WITH {_HISTORY_SQL} SELECT sha256('{{"incognito_mode":null,"media_identity":' || coalesce('"' || uri || '"', '[' || {_QUOTED.format('title')} || ',' || {_QUOTED.format('artist')} || ',null,' || {_QUOTED.format('talk')} || ',null]') || ',"media_type":"' || media || '","ms_played":' || ms ||
+  ',"offline":null,"played_at":"' || ts || '","reason_end":' || {_QUOTED.format('reason_end')} || ',"reason_start":' || {_QUOTED.format('reason_start')} || ',"shuffle":null,"skipped":' || coalesce(CAST(skipped AS VARCHAR), 'null') || '}}') AS event_id,
+  media AS media_type, ms AS ms_played, uri AS track_uri, title AS track_name, min(event_id) AS source_record_index FROM hc WHERE code IS NULL GROUP BY ALL""")
+def ingest_events(spark: SparkSession, sf: str) -> DataFrame:
+    good = _history(spark, sf).filter("error_code IS NULL").withColumn("event_id", history.event_id())
+    return dedup_first(good, "event_id", ("source_record_index",)).select("event_id", "media_type", "ms_played", "track_uri", "track_name", "source_record_index")
 
 
-@query(f"WITH {EVENTS_SQL} SELECT media_type, count(*) AS n, count(DISTINCT track_id) AS tracks FROM ev GROUP BY media_type")
+@query(f"WITH {_HISTORY_SQL} SELECT media AS media_type, count(*) AS n, count(DISTINCT title) AS tracks FROM hc GROUP BY media")
 def media_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return events(spark, sf).groupBy("media_type").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("track_id").alias("tracks"))
+    return _history(spark, sf).groupBy("media_type").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("track_name").alias("tracks"))
 
 
-@query(f"""WITH {EVENTS_SQL} SELECT coalesce(code, 'accepted') AS code, count(*) AS n, min(event_id) AS first_event FROM (
-  SELECT event_id, CASE WHEN ms_played < 1000 THEN 'invalid_ms_played' WHEN media_type = 'unknown' THEN 'ambiguous_media_type' WHEN track_id = 'k0' THEN 'invalid_spotify_uri' END AS code FROM ev) GROUP BY 1""")
+@query(f"WITH {_HISTORY_SQL} SELECT coalesce(code, 'accepted') AS code, count(*) AS n, min(event_id) AS first_event FROM hc GROUP BY 1")
 def reject_routing(spark: SparkSession, sf: str) -> DataFrame:
-    code = F.coalesce(F.when(F.col("ms_played") < 1000, "invalid_ms_played"), F.when(F.col("media_type") == "unknown", "ambiguous_media_type"), F.when(F.col("track_id") == "k0", "invalid_spotify_uri"), F.lit("accepted"))
-    return events(spark, sf).groupBy(code.alias("code")).agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_event"))
+    return _history(spark, sf).groupBy(F.coalesce("error_code", F.lit("accepted")).alias("code")).agg(F.count(F.lit(1)).alias("n"), F.min("source_record_index").alias("first_event"))
 
 
 @query("SELECT digest, doc_id, source FROM (SELECT sha256(text) AS digest, doc_id, source, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS n FROM documents) WHERE n = 1")
@@ -275,6 +303,21 @@ def identity_ambiguous(spark: SparkSession, sf: str) -> DataFrame:
     return _identity(spark, sf, False)
 
 
+@query("""SELECT 'q' || p_partkey AS source_track_id, 'exact' AS match_status, 'existing_spotify_uri' AS match_method, 'u' || 2 * p_partkey AS resolved_track_id, CAST(1 AS DOUBLE) AS match_confidence, (SELECT count(*) FROM part q WHERE q.p_partkey = 2 * p.p_partkey) AS n_candidates FROM part p""")
+def identity_uri(spark: SparkSession, sf: str) -> DataFrame:
+    q = table(spark, sf, "part").select(F.concat(F.lit("q"), "p_partkey").alias("source_track_id"), F.concat(F.lit("u"), 2 * F.col("p_partkey")).alias("track_uri"), F.col("p_name").alias("track_name"), F.col("p_brand").alias("artist_name"), F.col("p_type").alias("album_name"))
+    found = identity.resolve_identities(q, catalog(spark, sf), fuzzy=False)
+    return found.select("source_track_id", "match_status", "match_method", "resolved_track_id", "match_confidence", F.size("candidates").cast("long").alias("n_candidates"))
+
+
+@query("""WITH g AS (SELECT count(*) AS n, sum(p_size) AS ms FROM part GROUP BY p_name, p_brand),
+  s AS (SELECT unnest(['exact', 'ambiguous', 'fuzzy', 'unmatched']) AS match_status), t AS (SELECT CASE WHEN n = 1 THEN 'exact' ELSE 'ambiguous' END AS match_status, count(*) AS tracks, CAST(sum(n) AS BIGINT) AS plays, CAST(sum(ms) AS BIGINT) AS ms FROM g GROUP BY 1)
+  SELECT match_status, coalesce(tracks, 0) AS tracks, coalesce(plays, 0) AS plays, coalesce(ms, 0) AS ms, round(coalesce(tracks, 0) / (SELECT sum(tracks) FROM t), 6) AS tracks_rate, round(coalesce(plays, 0) / (SELECT sum(plays) FROM t), 6) AS plays_rate, round(coalesce(ms, 0) / (SELECT sum(ms) FROM t), 6) AS ms_rate FROM s LEFT JOIN t USING (match_status)""")
+def identity_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    q = _query_tracks(spark, sf, False, F.concat(F.upper("p_name"), F.lit(" !")))
+    return identity.coverage_report(identity.resolve_identities(q, catalog(spark, sf), fuzzy=False))
+
+
 @query()
 def identity_fuzzy(spark: SparkSession, sf: str) -> DataFrame:
     q = _query_tracks(spark, sf, False, F.concat(F.col("p_name"), F.lit("s")))
@@ -292,6 +335,62 @@ def canonical_map(spark: SparkSession, sf: str) -> DataFrame:
     return external.canonical_map(q, dump).select("track_id", "recording_mbid", "release_name")
 
 
+def _acoustic(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts as matched recordings with documents, some of whose values are missing."""
+    p = table(spark, sf, "part")
+    tree: dict = {}
+    for i, path in enumerate(acoustic.NUMBERS.values()):
+        value = F.when((F.col("p_size") % 4 == 0) | ((F.col("p_size") + i) % 5 > 0), F.col("p_retailprice") + i)
+        at = tree
+        for part in path.split(".")[:-1]:
+            at = at.setdefault(part, {})
+        at[path.split(".")[-1]] = value
+    tree["metadata"]["audio_properties"]["length"] = F.when(F.col("p_size") % 3 > 0, F.col("p_size"))
+    tree["tonal"]["key_key"] = F.concat(F.lit(" "), "p_brand")
+
+    def packed(node: dict | F.Column) -> F.Column:
+        return node if isinstance(node, F.Column) else F.struct(*(packed(v).alias(k) for k, v in node.items()))
+
+    high = {path.split(".")[1]: {"all": {path.split(".")[3]: F.when((F.col("p_size") + i) % 7 > 0, F.col("p_size") / 100.0)}} for i, path in enumerate(acoustic.SCORES.values())}
+    documents = p.filter("p_size % 6 > 0").select(F.concat(F.lit("R"), "p_partkey").alias("mbid"), F.to_json(packed(tree)).alias("low"), F.when(F.col("p_size") % 2 == 0, F.to_json(packed({"highlevel": high}))).alias("high"))
+    matches = p.select(F.concat(F.lit("u"), "p_partkey").alias("source_track_id"), F.when(F.col("p_partkey") % 9 > 0, "exact").otherwise("fuzzy").alias("match_status"), F.concat(F.lit("r"), "p_partkey").alias("recording_mbid"), F.col("p_size").cast("long").alias("play_count"), (F.col("p_size") * 1000).cast("long").alias("total_ms_played"))
+    return acoustic.matched_documents(matches, documents)
+
+
+_ACOUSTIC_SQL = f"""d AS (SELECT 'u' || p_partkey AS track_id, p_size AS z, p_retailprice AS v, p_brand, CASE WHEN p_size % 3 > 0 THEN p_size ELSE 0 END AS secs FROM part WHERE p_partkey % 9 > 0 AND p_size % 6 > 0),
+  n AS (SELECT unnest({list(acoustic.NUMBERS)}) AS feature_name, unnest(range(12)) AS i), h AS (SELECT unnest({list(acoustic.SCORES)}) AS feature_name, unnest(range(6)) AS i),
+  lo AS (SELECT track_id, secs, feature_name, v + i AS number, NULL AS txt, NULL AS total, 0.85 AS c FROM d, n WHERE z % 4 = 0 OR (z + i) % 5 > 0
+    UNION ALL SELECT track_id, secs, 'key_estimate_v1', NULL, p_brand, NULL, 0.85 FROM d UNION ALL SELECT track_id, secs, '{acoustic.DESCRIPTORS}', NULL, NULL, 12 * v + 66, 0.85 FROM d WHERE z % 4 = 0
+    UNION ALL SELECT track_id, secs, feature_name, z / 100.0, NULL, NULL, 0.7 FROM d, h WHERE z % 2 = 0 AND (z + i) % 7 > 0 UNION ALL SELECT track_id, secs, '{acoustic.LEARNED}', NULL, NULL, 6 * z / 100.0, 0.7 FROM d WHERE z % 2 = 0 AND z % 7 = 1)"""
+
+
+@query(f"WITH {_ACOUSTIC_SQL} SELECT track_id, feature_name, round(CAST(number AS DOUBLE), 6) AS value_number, txt AS value_text, round(CAST(total AS DOUBLE), 6) AS vector_total, CAST(secs AS DOUBLE) AS coverage_seconds, round(CAST(c * CASE WHEN secs > 0 THEN least(1.0, secs / 30.0) ELSE 0.75 END AS DOUBLE), 6) AS feature_confidence FROM lo")
+def acoustic_features(spark: SparkSession, sf: str) -> DataFrame:
+    found = acoustic.acoustic_observations(_acoustic(spark, sf))
+    total = F.when(F.col("value_vector").isNotNull(), F.aggregate("value_vector", F.lit(0.0), lambda s, x: s + x))
+    return found.select("track_id", "feature_name", _r("value_number").alias("value_number"), "value_text", F.round(total, 6).alias("vector_total"), "coverage_seconds", _r("feature_confidence").alias("feature_confidence"))
+
+
+@query("""WITH m AS (SELECT 'r' || p_partkey AS mbid, p_size AS n, p_size % 6 > 0 AS low, p_size % 6 > 0 AND p_size % 2 = 0 AS high FROM part WHERE p_partkey % 9 > 0)
+  SELECT count(*) AS exact_tracks, count(DISTINCT mbid) AS recordings, count(*) FILTER (WHERE low) AS low_tracks, round(count(*) FILTER (WHERE low) / count(*), 6) AS low_track_rate, round(sum(n) FILTER (WHERE low) / sum(n), 6) AS low_play_rate, round(sum(n) FILTER (WHERE low) / sum(n), 6) AS low_ms_played_rate,
+    count(*) FILTER (WHERE high) AS high_tracks, round(count(*) FILTER (WHERE high) / count(*), 6) AS high_track_rate, round(sum(n) FILTER (WHERE high) / sum(n), 6) AS high_play_rate, round(sum(n) FILTER (WHERE high) / sum(n), 6) AS high_ms_played_rate FROM m""")
+def acoustic_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    return acoustic.acoustic_coverage(_acoustic(spark, sf))
+
+
+@query("""WITH l AS (SELECT l_orderkey, l_linenumber, l_quantity, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate, l_quantity) AS n FROM lineitem WHERE l_orderkey % 3 = 0),
+  r AS (SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 3 = 0 AND o_orderkey % 5 > 0), s AS (SELECT l_orderkey AS mbid, count(*) AS lines FROM lineitem WHERE l_orderkey % 3 = 0 AND l_orderkey % 7 > 0 GROUP BY 1)
+  SELECT coalesce(o_orderkey, l_orderkey, mbid) AS mbid, l_quantity AS quantity, o_totalprice AS price, lines FROM (SELECT * FROM l WHERE n = 1) l FULL JOIN r ON l_orderkey = o_orderkey FULL JOIN s ON coalesce(o_orderkey, l_orderkey) = mbid""")
+def wanted_sections(spark: SparkSession, sf: str) -> DataFrame:
+    lines = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("mbid"), F.col("l_linenumber").alias("submission_offset"), F.col("l_quantity").alias("quantity"), "l_partkey", "l_suppkey", "l_shipdate")
+    orders = table(spark, sf, "orders").filter("o_orderkey % 5 > 0").select(F.col("o_orderkey").alias("mbid"), F.col("o_totalprice").alias("price"))
+    counts = lines.filter("mbid % 7 > 0").groupBy("mbid").agg(F.count(F.lit(1)).alias("lines"))
+    wanted = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("mbid")).unionByName(table(spark, sf, "orders").select(F.col("o_orderkey").alias("mbid"))).filter("mbid % 3 = 0")
+    low = external.lowest_offset(lines, tie=("l_partkey", "l_suppkey", "l_shipdate", "quantity"))
+    merged = external.merge_sections({"line": low, "order": orders, "count": counts}, wanted=wanted)
+    return merged.select("mbid", F.col("line.quantity").alias("quantity"), F.col("order.price").alias("price"), F.col("count.lines").alias("lines"))
+
+
 @query("""WITH l AS (SELECT l_orderkey, l_linenumber, l_quantity, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate, l_quantity) AS n FROM lineitem)
   SELECT coalesce(o.o_orderkey, l.l_orderkey) AS mbid, l.l_linenumber AS submission_offset, l.l_quantity AS quantity, o.o_totalprice AS price FROM (SELECT * FROM l WHERE n = 1) l FULL JOIN orders o ON l.l_orderkey = o.o_orderkey""")
 def lowest_offset(spark: SparkSession, sf: str) -> DataFrame:
@@ -441,30 +540,30 @@ def _candidates(spark: SparkSession, sf: str) -> DataFrame:
     return c.select(F.concat(F.lit("k"), F.col("p_partkey") % 120).alias("snapshot_id"), F.col("track_uri").alias("track_id"), F.col("artist_name"), F.concat(F.lit("a"), F.col("p_size") % 25).alias("artist_key"), ((F.col("p_retailprice") - 950) / 60).alias("cos"), "p_size", "p_partkey")
 
 
-_CAND_SQL = f"""{_SNAPSHOT_SQL}, ar AS (SELECT artist, min_by(prior_artist_log_play_count, track_id) AS x FROM sn GROUP BY artist),
-  ca AS (SELECT 'u' || p_partkey AS track_id, p_brand AS artist_name, p_size, 'k' || (p_partkey % 120) AS sid, 'a' || (p_size % 25) AS artist_key, CASE WHEN p_size % 3 > 0 THEN greatest(-1.0, least(1.0, (p_retailprice - 950) / 60)) END AS s FROM part),
-  cb AS (SELECT ca.*, CASE WHEN p_size % 5 > 0 THEN 1 / (1 + exp(-({_Z_SQL}))) END AS p, 1 / (1 + sqrt(exp(coalesce(prior_log_play_count, 0.0)) - 1)) AS nov FROM
-    ca LEFT JOIN (SELECT track_id AS sid, prior_log_play_count, prior_positive_rate, prior_early_skip_rate, prior_recency_score FROM sn) USING (sid)),
-  cs AS (SELECT *, CASE WHEN s IS NOT NULL THEN 'audio_ranked' WHEN p IS NOT NULL THEN 'preference_ranked' ELSE 'metadata_only' END AS tier,
-    CASE WHEN s IS NOT NULL THEN (0.5 * (s + 1) / 2 + CASE WHEN p IS NOT NULL THEN 0.35 * p ELSE 0 END + 0.15 * nov) / (0.65 + CASE WHEN p IS NOT NULL THEN 0.35 ELSE 0 END) WHEN p IS NOT NULL THEN p END AS base FROM cb)"""
-
+_FILTERS = [similarity.NumericRange(features.Selector("price_v1", *_SOURCE), 940.0, None, 0.25), similarity.NumericRange(features.Selector("size_v1", *_SOURCE), None, 45.0, 0.5, required=False)]
+_REASON_SQL = "CASE WHEN artist_name = 'Brand#11' THEN 'excluded_artist' WHEN least(1.0, p_size / 40.0) < 0.25 THEN 'missing_filter_feature' WHEN p_retailprice < 940 THEN 'feature_filter' WHEN least(1.0, p_size / 40.0) >= 0.5 AND p_size > 45 THEN 'feature_filter' END"
 
-def _scored(spark: SparkSession, sf: str) -> DataFrame:
-    own = _snapshots(spark, sf).withColumnRenamed("track_id", "snapshot_id").select("snapshot_id", *temporal.FEATURES)
-    c = _candidates(spark, sf).join(own, "snapshot_id", "left")
-    s = F.when(F.col("p_size") % 3 > 0, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("cos"))))
-    p = F.when(F.col("p_size") % 5 > 0, _MODEL.probability({n: F.col(n) for n in _MODEL.names}))
-    nov = ranking.novelty(F.coalesce("prior_log_play_count", F.lit(0.0)))
-    return c.withColumns({"s": s, "p": p, "nov": nov}).select("track_id", "artist_name", "artist_key", "p_size", ranking.tier(F.col("s"), F.col("p")).alias("tier"), ranking.base_score(F.col("s"), F.col("p"), F.col("nov"), RankingConfig()).alias("base_score"))
 
+_RANK_MODEL = ranking.LinearModel(("prior_log_play_count", "prior_positive_rate", "prior_artist_positive_rate"), (3.0, 0.5, 0.4), (0.5, 0.2, 0.1), (0.4, 0.8, 0.3), 0.25)
 
-@query(f"WITH {_CAND_SQL} SELECT track_id, tier, round(base, 6) AS base_score FROM cs")
-def candidate_base_score(spark: SparkSession, sf: str) -> DataFrame:
-    return _scored(spark, sf).select("track_id", "tier", _r("base_score").alias("base_score"))
+_CAND_SQL = f"""{_SNAPSHOT_SQL}, s2 AS (SELECT 'u' || substr(track_id, 2) AS sid, artist, prior_log_play_count AS l, prior_positive_rate AS r, prior_artist_positive_rate AS ar FROM sn),
+  fb AS (SELECT artist AS akey, min_by(ar, sid) AS far FROM s2 WHERE artist IS NOT NULL GROUP BY artist),
+  ca AS (SELECT 'u' || p_partkey AS track_id, p_brand AS artist_name, 'a' || (p_size % 25) AS artist_key, CASE WHEN p_size % 3 > 0 THEN greatest(-1.0, least(1.0, (p_retailprice - 950) / 60)) END AS s,
+    CASE WHEN p_partkey % 50 = 0 THEN 'seed_track' ELSE {_REASON_SQL.replace('artist_name', 'p_brand')} END AS reason FROM part),
+  cf AS (SELECT ca.*, coalesce(l, 0.0) AS l, coalesce(r, 0.0) AS r, CASE WHEN sid IS NOT NULL THEN ar ELSE coalesce(far, 0.0) END AS ar FROM ca LEFT JOIN s2 ON track_id = sid LEFT JOIN fb ON artist_key = akey),
+  cb AS (SELECT *, 1 / (1 + exp(-(0.4 * (l - 3.0) / 0.5 + 0.8 * (r - 0.5) / 0.2 + 0.3 * (ar - 0.4) / 0.1 + 0.25))) AS p, 1 / (1 + sqrt(exp(l) - 1)) AS nov FROM cf),
+  cs AS (SELECT *, CASE WHEN s IS NOT NULL THEN 'audio_ranked' ELSE 'preference_ranked' END AS tier, CASE WHEN reason IS NULL THEN CASE WHEN s IS NOT NULL THEN 0.5 * (s + 1) / 2 + 0.35 * p + 0.15 * nov ELSE p END END AS base FROM cb),
+  cj AS (SELECT *, row_number() OVER (PARTITION BY artist_key ORDER BY base DESC, track_id DESC) - 1 AS j FROM cs WHERE base IS NOT NULL),
+  ct AS (SELECT track_id, base - 0.1 * CAST(j AS DOUBLE) AS final, row_number() OVER (ORDER BY base - 0.1 * CAST(j AS DOUBLE) DESC, track_id DESC) AS rank FROM cj WHERE j < 3)"""
 
 
-_FILTERS = [similarity.NumericRange(features.Selector("price_v1", *_SOURCE), 940.0, None, 0.25), similarity.NumericRange(features.Selector("size_v1", *_SOURCE), None, 45.0, 0.5, required=False)]
-_REASON_SQL = "CASE WHEN artist_name = 'Brand#11' THEN 'excluded_artist' WHEN least(1.0, p_size / 40.0) < 0.25 THEN 'missing_filter_feature' WHEN p_retailprice < 940 THEN 'feature_filter' WHEN least(1.0, p_size / 40.0) >= 0.5 AND p_size > 45 THEN 'feature_filter' END"
+def _scored(spark: SparkSession, sf: str) -> DataFrame:
+    """Candidates by the ranking operator: a track's or its artist's snapshot, a model, a cosine, filters."""
+    c = _candidates(spark, sf)
+    cosines = c.filter(F.col("p_size") % 3 > 0).select("track_id", F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("cos"))).alias("cosine_similarity"))
+    seeds = c.filter("p_partkey % 50 = 0").select("track_id")
+    names = c.select("track_id", "artist_name", "artist_key")
+    return ranking.rank_candidates(names, snapshots=_snapshots(spark, sf).withColumn("track_id", F.concat(F.lit("u"), F.substring("track_id", 2, 9))), model=_RANK_MODEL, similarity=cosines, seeds=seeds, observations=observations(spark, sf), filters=_FILTERS, excluded_artists=["brand#11 "], top_k=40)
 
 
 @query(f"SELECT 'u' || p_partkey AS track_id, {_REASON_SQL} AS exclusion_reason FROM (SELECT *, p_brand AS artist_name FROM part)")
@@ -481,13 +580,14 @@ def diversified_topk(spark: SparkSession, sf: str) -> DataFrame:
     return ranking.diversified(c, top_k=50).select("track_id", _r("final_score").alias("final_score"), "rank")
 
 
-@query(f"""WITH {_CAND_SQL}, ok AS (SELECT cs.track_id, cs.artist_name, round(base, 9) AS b FROM cs JOIN part ON cs.track_id = 'u' || p_partkey WHERE base IS NOT NULL AND ({_REASON_SQL.replace('artist_name', 'cs.artist_name').replace('p_size', 'part.p_size')}) IS NULL),
-  j AS (SELECT *, row_number() OVER (PARTITION BY artist_name ORDER BY b DESC, track_id DESC) - 1 AS j FROM ok)
-  SELECT track_id, round(b - 0.1 * CAST(j AS DOUBLE), 6) AS final_score, CAST(row_number() OVER (ORDER BY b - 0.1 * CAST(j AS DOUBLE) DESC, track_id DESC) AS INT) AS rank FROM j WHERE j < 3 ORDER BY rank LIMIT 40""")
+@query(f"WITH {_CAND_SQL} SELECT track_id, tier, round(p, 6) AS predicted_preference, round(nov, 6) AS novelty_bonus, round(base, 6) AS base_score FROM cs")
+def candidate_base_score(spark: SparkSession, sf: str) -> DataFrame:
+    return _scored(spark, sf).select("track_id", "tier", *(_r(c).alias(c) for c in ("predicted_preference", "novelty_bonus", "base_score")))
+
+
+@query(f"WITH {_CAND_SQL} SELECT cs.track_id, CAST(CASE WHEN rank <= 40 THEN rank END AS INT) AS rank, round(CASE WHEN rank <= 40 THEN final END, 6) AS final_score, coalesce(reason, CASE WHEN rank IS NULL OR rank > 40 THEN 'not_selected' END) AS exclusion_reason FROM cs LEFT JOIN ct ON cs.track_id = ct.track_id")
 def rank_candidates(spark: SparkSession, sf: str) -> DataFrame:
-    c = ranking.exclusion_reason(_scored(spark, sf), observations(spark, sf), _FILTERS, ["brand#11"])
-    usable = c.filter("exclusion_reason IS NULL").withColumn("base_score", F.round("base_score", 9))
-    return ranking.diversified(usable, top_k=40, artist="artist_name").select("track_id", _r("final_score").alias("final_score"), "rank")
+    return _scored(spark, sf).select("track_id", "rank", _r("final_score").alias("final_score"), "exclusion_reason")
 
 
 # --- clusters and models ------------------------------------------------------------------------
@@ -509,7 +609,7 @@ def cluster_metrics(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def kmeans_map(spark: SparkSession, sf: str) -> DataFrame:
     v = vectors(spark, sf).select("track_id", F.col("embedding").alias("vector"))
-    return clustering.taste_map(v, TasteMapConfig(minimum_clusters=9, maximum_clusters=10, seeds=(11, 29), density_sizes=()))[0]
+    return clustering.taste_map(v)[0]
 
 
 @query()
@@ -518,6 +618,17 @@ def train_logistic(spark: SparkSession, sf: str) -> DataFrame:
     return training.predict(samples, training.fit_logistic(samples.filter("split = 'train'"), temporal.FEATURES), "behavior")
 
 
+@query()
+def taste_variants(spark: SparkSession, sf: str) -> DataFrame:
+    """Every feature variant, fitted on listening samples with catalogue and vector features."""
+    samples = temporal.temporal_samples(events(spark, sf), PERIODS)
+    tracks = observations(spark, sf).withColumn("track_id", F.concat(F.lit("k"), F.substring("track_id", 2, 9)))
+    v = vectors(spark, sf).select(F.concat(F.lit("k"), "track_id").alias("track_id"), F.lit("audio_v1").alias("feature_name"), F.lit("clip").alias("feature_source"), F.lit("v1").alias("source_version"), F.lit(None).cast("double").alias("value_number"), F.lit(None).cast("string").alias("value_text"), F.slice("embedding", 1, 8).alias("value_vector"), F.lit(30.0).alias("coverage_seconds"), F.lit(1.0).alias("feature_confidence"))
+    found, chosen, _ = training.train_taste_models(samples, observations=tracks.unionByName(v), descriptors=[features.Selector("size_v1", *_SOURCE), features.Selector("price_v1", *_SOURCE)], embedding=features.Selector("audio_v1", "clip", "v1"))
+    rows = [(f.variant.name, len(f.features), f.variant.matched, f.reason, f.merit[0], f.merit[1], f is chosen) for f in found]
+    return spark.createDataFrame(rows, "model_name string, feature_count int, matched boolean, reason string, ndcg_at_k double, average_precision double, selected boolean")
+
+
 # --- hand-off -----------------------------------------------------------------------------------
 
 
@@ -530,10 +641,9 @@ def feedback_log(spark: SparkSession, sf: str) -> DataFrame:
     return merge_feedback(first, rows).select("feedback_id", "recommendation_run_id", "track_id", "outcome")
 
 
-@query("SELECT 'u' || p_partkey AS track_uri, CAST(row_number() OVER (ORDER BY p_partkey) - 1 AS INT) AS position, CAST((row_number() OVER (ORDER BY p_partkey) - 1) // 100 AS INT) AS batch FROM (SELECT * FROM part ORDER BY p_retailprice DESC, p_partkey LIMIT 1000)")
+@query("SELECT 'u' || p_partkey AS track_uri, CAST(row_number() OVER (ORDER BY p_partkey) - 1 AS INT) AS position, CAST((row_number() OVER (ORDER BY p_partkey) - 1) // 100 AS INT) AS batch FROM part")
 def playlist_batches(spark: SparkSession, sf: str) -> DataFrame:
-    top = catalog(spark, sf).orderBy(F.desc("p_retailprice"), "p_partkey").limit(1000)
-    return batches(top, "p_partkey").select("track_uri", "position", "batch")
+    return batches(catalog(spark, sf), "p_partkey").select("track_uri", "position", "batch")
 
 
 @query("""WITH r AS (SELECT n_nationkey AS k, sha256(concat_ws(chr(31), CAST(n_nationkey AS VARCHAR), n_name, CAST(n_regionkey AS VARCHAR))) AS h FROM nation),

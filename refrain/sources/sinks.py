@@ -64,9 +64,18 @@ def merge_feedback(log: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def batches(items: DataFrame, order: str, size: int = 100) -> DataFrame:
-    """Adds ``position`` (from 0) and ``batch`` for requests of ``size`` items at most."""
-    position = F.row_number().over(Window.orderBy(order)) - 1
-    return items.withColumn("position", position).withColumn("batch", F.floor(F.col("position") / size).cast("int"))
+    """Adds ``position`` (from 0) and ``batch`` for requests of ``size`` items at most.
+
+    Items are dealt out by ranges of ``order`` (unique), which are numbered each by
+    itself; only the ranges' sizes pass through one window.
+    """
+    ranged = items.repartitionByRange(order).withColumn("_p", F.spark_partition_id())
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranged.groupBy("_p").count().select("_p", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_p").orderBy(order)) - 1
+    position = (F.col("_before") + F.col("_i")).cast("int")
+    numbered = ranged.withColumn("_i", inside).join(F.broadcast(sizes), "_p").withColumn("position", position).drop("_p", "_i", "_before")  # a row a partition
+    return numbered.withColumn("batch", F.floor(F.col("position") / size).cast("int"))
 
 
 @dataclass(frozen=True)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from refrain.contracts import CATALOG, ContractError, assert_all, assert_unique
 from refrain.functions.text import blank_to_null, track_uri
+from refrain.operators.identity import top_weighted
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str, *, unique: tuple[str, ...] = ()) -> DataFrame:
@@ -210,9 +211,9 @@ class CachedJson:
 
 
 def map_recordings(client: CachedJson, queries: DataFrame, url: Callable[[Mapping[str, str | None]], str], top: int) -> DataFrame:
-    """Look up the ``top`` queries one by one on the driver; an answer is one mapping or none."""
+    """Look up the ``top`` queries, by plays, milliseconds and id, one by one on the driver; an answer is one mapping or none."""
     rows = []
-    for q in queries.limit(top).collect():
+    for q in top_weighted(queries, top).collect():
         found = client.get(url(q.asDict()))
         if isinstance(found, list):
             if len(found) > 1:
