@@ -53,7 +53,8 @@ def _history(spark: SparkSession, sf: str) -> DataFrame:
         "reason_end",
         "skipped",
     )
-    return history.normalize(history.parse(e.select(F.lit("f").alias("source_file"), F.col("event_id").alias("source_record_index"), F.to_json(record).alias("record"))))
+    raw = e.select(F.lit("f").alias("source_file"), F.col("event_id").alias("source_record_index"), F.to_json(record).alias("record"))
+    return history.normalize(history.parse(history.spread(raw)))
 
 
 _HISTORY_SQL = f"""{EVENTS_SQL},

@@ -5,7 +5,7 @@ from __future__ import annotations
 import io
 import json
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -56,89 +56,87 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
     return files.filter(F.lower("path").rlike(r"\.(json|zip)$")).mapInPandas(split, _RAW)
 
 
-def parse(raw: DataFrame) -> DataFrame:
-    """Typed columns of the records, with legacy names mapped to the current ones."""
-    r = raw.withColumn("r", F.from_json("record", RAW_HISTORY))
-    legacy = F.regexp_replace(F.col("r.endTime"), r"^(\d{4}-\d{2}-\d{2}) (\d{2}:\d{2})$", "$1T$2:00Z")
-    return r.select(
-        "source_file",
-        "source_record_index",
-        "record",
-        F.coalesce("r.ts", legacy).alias("ts"),
-        F.coalesce("r.ms_played", "r.msPlayed").alias("ms_played"),
-        F.coalesce("r.master_metadata_track_name", "r.trackName").alias("track_name"),
-        F.coalesce("r.master_metadata_album_artist_name", "r.artistName").alias("artist_name"),
-        F.col("r.master_metadata_album_album_name").alias("album_name"),
-        F.col("r.spotify_track_uri").alias("track_uri"),
-        F.col("r.spotify_episode_uri").alias("episode_uri"),
-        F.coalesce("r.episode_name", "r.episodeName").alias("episode_name"),
-        F.coalesce("r.episode_show_name", "r.podcastName").alias("show_name"),
-        *(F.col(f"r.{c}").alias(c) for c in ("reason_start", "reason_end", "shuffle", "skipped", "offline", "incognito_mode", "platform")),
-    )
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, wherever the optimizer puts the whole."""
+    return F.transform(F.array(value), body)[0]
+
+
+_FLAGS = ("shuffle", "skipped", "offline", "incognito_mode")
+_TEXTS = ("track_uri", "episode_uri", "track_name", "artist_name", "album_name", "episode_name", "show_name", "reason_start", "reason_end", "platform")
+
+
+def _typed(r: Column) -> Column:
+    """The current fields of a record, from its own or legacy names; blank texts are null."""
+    legacy = F.regexp_replace(r["endTime"], r"^(\d{4}-\d{2}-\d{2}) (\d{2}:\d{2})$", "$1T$2:00Z")
+    ts = F.coalesce(r["ts"], legacy)
+    names = {
+        "track_name": F.coalesce(r["master_metadata_track_name"], r["trackName"]),
+        "artist_name": F.coalesce(r["master_metadata_album_artist_name"], r["artistName"]),
+        "album_name": r["master_metadata_album_album_name"],
+        "track_uri": r["spotify_track_uri"],
+        "episode_uri": r["spotify_episode_uri"],
+        "episode_name": F.coalesce(r["episode_name"], r["episodeName"]),
+        "show_name": F.coalesce(r["episode_show_name"], r["podcastName"]),
+    } | {c: r[c] for c in ("reason_start", "reason_end", "platform")}
+    return F.struct(ts.alias("ts"), F.coalesce(r["ms_played"], r["msPlayed"]).alias("ms_played"), F.try_to_timestamp(ts).alias("played_at"), *(blank_to_null(names[c]).alias(c) for c in _TEXTS), *(r[c].alias(c) for c in _FLAGS))
+
 
+def spread(raw: DataFrame) -> DataFrame:
+    """Raw records over all tasks: a file is read by one, but parsing is most of the work."""
+    return raw.repartition(int(raw.sparkSession.conf.get("spark.sql.shuffle.partitions")), "source_file", "source_record_index")
 
-def _raw_type_error(field: str, pattern: str) -> Column:
-    """The field is given, isn't null, and its JSON text isn't of the type."""
-    value = F.get_json_object("record", f"$.{field}")
-    return value.isNotNull() & ~value.rlike(pattern)
+
+def parse(raw: DataFrame) -> DataFrame:
+    """Records with their typed fields as ``fields``."""
+    return raw.select("source_file", "source_record_index", "record", _let(F.from_json("record", RAW_HISTORY), _typed).alias("fields"))
 
 
-def media_type() -> Column:
-    track = F.col("track_uri").isNotNull() | F.coalesce("track_name", "artist_name", "album_name").isNotNull()
-    episode = F.col("episode_uri").isNotNull() | F.coalesce("episode_name", "show_name").isNotNull()
+def media_type(r: Column) -> Column:
+    track = r["track_uri"].isNotNull() | F.coalesce(r["track_name"], r["artist_name"], r["album_name"]).isNotNull()
+    episode = r["episode_uri"].isNotNull() | F.coalesce(r["episode_name"], r["show_name"]).isNotNull()
     return F.when(track & episode, F.lit(None)).when(track, "track").when(episode, "episode").otherwise("unknown")
 
 
-def reject_code() -> Column:
+def _misfit(value: Column) -> Column:
+    return value.isNotNull() & ~value.rlike("^(true|false)$")
+
+
+def reject_code(r: Column, media: Column, record: Column) -> Column:
     """The code of the first check that fails, in field order; null for a good record."""
-    has_offset = F.col("ts").rlike(r"(Z|[+-]\d{2}:?\d{2})$")
+    has_offset = r["ts"].rlike(r"(Z|[+-]\d{2}:?\d{2})$")
     return F.coalesce(
-        F.when(F.col("played_at").isNull() | ~F.coalesce(has_offset, F.lit(False)), "invalid_timestamp"),
-        F.when(F.col("ms_played").isNull() | (F.col("ms_played") < 0), "invalid_ms_played"),
-        F.when(F.col("track_uri").isNotNull() & ~F.col("track_uri").rlike(TRACK_URI), "invalid_spotify_uri"),
-        F.when(F.col("episode_uri").isNotNull() & ~F.col("episode_uri").rlike(EPISODE_URI), "invalid_spotify_uri"),
-        F.when(F.col("media_type").isNull(), "ambiguous_media_type"),
-        *(F.when(_raw_type_error(c, "^(true|false)$"), "invalid_boolean") for c in ("shuffle", "skipped", "offline", "incognito_mode")),
+        F.when(r["played_at"].isNull() | ~F.coalesce(has_offset, F.lit(False)), "invalid_timestamp"),
+        F.when(r["ms_played"].isNull() | (r["ms_played"] < 0), "invalid_ms_played"),
+        F.when(r["track_uri"].isNotNull() & ~r["track_uri"].rlike(TRACK_URI), "invalid_spotify_uri"),
+        F.when(r["episode_uri"].isNotNull() & ~r["episode_uri"].rlike(EPISODE_URI), "invalid_spotify_uri"),
+        F.when(media.isNull(), "ambiguous_media_type"),
+        # A flag of another type is null once typed, so its JSON text tells.
+        *(F.when(_misfit(F.get_json_object(record, f"$.{c}")), "invalid_boolean") for c in _FLAGS),
     )
 
 
 def normalize(parsed: DataFrame) -> DataFrame:
     """All records with normalised fields, media type and reject code. Unknown fields go."""
-    texts = ("track_uri", "episode_uri", "track_name", "artist_name", "album_name", "episode_name", "show_name", "reason_start", "reason_end", "platform")
-    rows = parsed.withColumns({c: blank_to_null(F.col(c)) for c in texts})
-    rows = rows.withColumn("played_at", F.try_to_timestamp("ts")).withColumn("media_type", media_type())
-    return rows.withColumn("error_code", reject_code())
 
+    def coded(r: Column) -> Column:
+        names = ("ts", "ms_played", "played_at", *_TEXTS, *_FLAGS)
+        return F.struct(*(r[c].alias(c) for c in names), media_type(r).alias("media_type"), reject_code(r, media_type(r), F.col("record")).alias("error_code"))
 
-def _json(c: Column) -> Column:
-    """A JSON string literal with escapes as a canonical encoder writes them, or null."""
-    quoted = F.to_json(F.array(c), {"ignoreNullFields": "false"})
-    return F.when(c.isNull(), "null").otherwise(F.regexp_extract(quoted, r"(?s)^\[(.*)\]$", 1))
+    return parsed.select("source_file", "source_record_index", "record", _let(F.col("fields"), coded).alias("_n")).select("source_file", "source_record_index", "record", "_n.*")
 
 
 def event_id() -> Column:
     """SHA-256 of the event's identity as canonical JSON: its keys sorted, no spaces."""
     uri = F.coalesce("track_uri", "episode_uri")
-    names = F.concat(F.lit("["), F.concat_ws(",", *(_json(F.col(c)) for c in ("track_name", "artist_name", "album_name", "episode_name", "show_name"))), F.lit("]"))
+    at = F.date_format("played_at", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
 
-    def flag(c: str) -> Column:
-        return F.coalesce(F.col(c).cast("string"), F.lit("null"))
+    def body(identity: Column) -> Column:
+        fields = {c: F.col(c) for c in ("incognito_mode", "media_type", "ms_played", "offline", "reason_end", "reason_start", "shuffle", "skipped")}
+        fields |= {"media_identity": identity, "played_at": at}
+        return F.to_json(F.struct(*(fields[c].alias(c) for c in sorted(fields))), {"ignoreNullFields": "false"})
 
-    at = F.date_format("played_at", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
-    parts = (
-        ("incognito_mode", flag("incognito_mode")),
-        ("media_identity", F.when(uri.isNotNull(), _json(uri)).otherwise(names)),
-        ("media_type", _json(F.col("media_type"))),
-        ("ms_played", F.col("ms_played").cast("string")),
-        ("offline", flag("offline")),
-        ("played_at", _json(at)),
-        ("reason_end", _json(F.col("reason_end"))),
-        ("reason_start", _json(F.col("reason_start"))),
-        ("shuffle", flag("shuffle")),
-        ("skipped", flag("skipped")),
-    )
-    body = F.concat_ws(",", *(F.concat(F.lit(f'"{k}":'), v) for k, v in parts))
-    return F.sha2(F.concat(F.lit("{"), body, F.lit("}")), 256)
+    names = F.array("track_name", "artist_name", "album_name", "episode_name", "show_name")
+    return F.sha2(F.when(uri.isNotNull(), body(uri)).otherwise(body(names)), 256)
 
 
 def dedup_first(df: DataFrame, key: str, order: tuple[str, ...]) -> DataFrame:
@@ -154,7 +152,7 @@ class RejectedRecord(ValueError):
 def load_history(spark: SparkSession, path: str, *, strict: bool = False, issues: int = 100) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(events, rejects, report). Events are deduplicated, first wins, and sorted by
     time and id; rejects are the first ``issues`` by file and index; the report is one row."""
-    rows = normalize(parse(read_raw(spark, path))).cache()
+    rows = normalize(parse(spread(read_raw(spark, path)))).cache()
     bad = rows.filter(F.col("error_code").isNotNull())
     if strict and (first := bad.orderBy(F.lower("source_file"), "source_record_index").first()):
         raise RejectedRecord(f"{first.error_code} in {first.source_file}, record {first.source_record_index}")
