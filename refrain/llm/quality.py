@@ -122,8 +122,14 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, *, rows: int = FIT_ROWS, id_col: str = "doc_id", text_col: str = "text") -> Trees:
-    """Fit on ``labels`` (doc_id, label 0/1; null labels ignored), at most ``rows`` of them."""
-    keys = fit_rows(labels.filter(F.col("label").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("int").alias("label")), "doc_id", rows)
+    """Fit on ``labels`` (doc_id, label), at most ``rows`` of them.
+
+    Labels other than 0 and 1, nulls among them, are left out. A null text counts as
+    empty, and both are examples like others. A label given twice, or an id with
+    several texts, makes a row each time. Without any labelled text every score is 0.5.
+    """
+    keys = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("int").alias("label")).filter("label IN (0, 1) AND doc_id IS NOT NULL")
+    keys = fit_rows(keys, "doc_id", rows)
 
     @fresh
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

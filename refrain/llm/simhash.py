@@ -33,13 +33,11 @@ FANOUT, QUERIES, FRONTIER = 8, 1024, 1 << 16
 BUCKET = 1 << 12
 
 
-def fingerprint(text: bytes, k: int = 4, distinct: bool = False) -> int:
+def fingerprint(text: bytes, k: int = 4) -> int:
     """The 64-bit fingerprint of a text's k-word shingles; with no word 0."""
     words = text.lower().split()
     if not words:
         return 0
-    if distinct:
-        words = sorted(set(words)) if k == 1 else words
     joined, n = b" ".join(words), max(1, len(words) - k + 1)
     ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])[:n]
@@ -123,22 +121,6 @@ class GrayIndex:
         apart = np.flatnonzero(label != np.arange(len(label)))
         return self.order[apart], self.order[label[apart]]
 
-    def nearest(self, t: int, most: int = 1) -> tuple[np.ndarray, np.ndarray]:
-        """For each fingerprint the ``most`` nearest others within ``t`` bits, as places in the input."""
-        a, b = [], []
-        for i in range(0, len(self.fps), QUERIES):
-            hits = list(self._descend(t, np.arange(i, min(i + QUERIES, len(self.fps))), False, None, None))
-            if hits:
-                q, leaf, acc = (np.concatenate([h[j] for h in hits]) for j in range(3))
-                best = np.lexsort((self.fps[leaf], acc, q))
-                first = np.flatnonzero(np.concatenate([[True], q[best][1:] != q[best][:-1]]))
-                nth = np.arange(len(best)) - np.repeat(first, np.diff(np.append(first, len(best))))
-                best = best[nth < most]
-                a.append(self.order[q[best]])
-                b.append(self.order[leaf[best]])
-        none = np.zeros(0, np.int64)
-        return (np.concatenate(a), np.concatenate(b)) if a else (none, none)
-
 
 def _union(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Join classes along links; a label is the smallest place of its class."""
@@ -435,12 +417,6 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, similarity: float = 0.8, id_
     pairs = met.filter("b IS NOT NULL").select("a", "b").distinct()
     large = met.filter("b IS NULL")
 
-    @fresh
-    def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sets = _sets(b, k)
-            yield batch(_WHOLE, b.column("doc_id"), [s.tobytes() for s in sets], [_sketch(s) for s in sets])
-
     def either(pairs: DataFrame) -> DataFrame:
         return pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).filter("doc_id IS NOT NULL").distinct()
 
