@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import functools
+import gc
 import tempfile
 from collections.abc import Callable, Iterable, Iterator
 from typing import Any
@@ -118,12 +119,19 @@ def kept(key: Any, make: Callable[[], Any]) -> Any:
 
 
 def forget() -> None:
-    """Give back what tasks of another kind have kept in this worker process."""
-    if _KEPT:
-        _KEPT.clear()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-        if trim:
-            trim(0)
+    """Give back what other tasks have left in this worker process.
+
+    A task's function and what it holds are a cycle, so that its tables live until
+    the collector comes. What the worker itself loaded is left out of that.
+    """
+    if not gc.get_freeze_count():
+        gc.freeze()
+    _KEPT.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def fresh(run: Callable[[Iterable], Iterator]) -> Callable[[Iterable], Iterator]:

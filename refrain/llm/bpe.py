@@ -52,8 +52,8 @@ class Merges:
     merge before one of them is merged away inside its own token.
     """
 
-    def __init__(self, ranks: dict[bytes, int]):
-        self.ranks = ranks
+    def __init__(self, ranks: dict[bytes, int], max_pairs: int = 2 * MAX_STATES):
+        self.ranks, self.max_pairs = ranks, max_pairs
         self.tokens: list[bytes] = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
             self.tokens[rank] = token
@@ -87,7 +87,7 @@ class Merges:
         key = (a, b)
         ok = self._pairs.get(key)
         if ok is None:
-            if len(self._pairs) > 400_000:
+            if len(self._pairs) > self.max_pairs:
                 self._pairs.clear()
             ok = self._pairs[key] = self._test(self._edge(a, 1), self._edge(b, 0))
         return ok
@@ -117,16 +117,18 @@ class Transducer:
     """
 
     def __init__(self, ranks: dict[bytes, int], max_states: int = MAX_STATES):
-        self.merges, self.max_states = Merges(ranks), max_states
-        self._child: list[dict[int, int]] = [{}]
-        self._token: list[int] = [-1]
+        self.merges, self.max_states = Merges(ranks, 2 * max_states), max_states
+        # The trie: the child of (node, byte), each node's token or -1, and whether it goes on.
+        self._child: dict[int, int] = {}
+        self._token, self._inner = array("i", [-1]), bytearray(1)
         for token, rank in ranks.items():
             node = 0
             for byte in token:
-                nxt = self._child[node].get(byte)
+                nxt = self._child.get(node << 8 | byte)
                 if nxt is None:
-                    nxt = self._child[node][byte] = len(self._child)
-                    self._child.append({})
+                    nxt = self._child[node << 8 | byte] = len(self._token)
+                    self._inner[node] = 1
+                    self._inner.append(0)
                     self._token.append(-1)
                 node = nxt
             self._token[node] = rank
@@ -141,7 +143,7 @@ class Transducer:
     def _move(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         paths = []
         for owed, last, node in self._paths[state]:
-            nxt = self._child[node].get(byte)
+            nxt = self._child.get(node << 8 | byte)
             if nxt is None:
                 continue
             paths.append((owed, last, nxt))
@@ -149,7 +151,7 @@ class Transducer:
             if token >= 0 and (last < 0 or self.merges.adjacent(last, token)):
                 # A boundary: no other path ends here, as each prefix has one encoding.
                 paths.append(((*owed, token), token, 0))
-        paths = [p for p in paths if self._child[p[2]]]
+        paths = [p for p in paths if self._inner[p[2]]]
         first, common = min((p[0] for p in paths), key=len), 0
         while common < len(first) and all(p[0][common] == first[common] for p in paths):
             common += 1
@@ -339,7 +341,7 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, *, digests: bool = F
 
     Pieces met before are answered from a table, others by the transducer. A
     worker's tables take about 0.2 kB a piece (of which two bounds' worth are
-    kept) and 0.7 kB a state; smaller bounds trade time for memory, never results.
+    kept) and 1 kB a state; smaller bounds trade time for memory, never results.
     """
 
     key = (path, pattern, max_states, max_pieces)

@@ -17,6 +17,7 @@ import gc
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -24,16 +25,16 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from refrain.llm.base import batch, fit_rows, fresh, id_text, join_few, utf8
+from refrain.llm.base import batch, fit_rows, fresh, id_text, join_few, kept, utf8
 
 #: Labelled rows that a fit may use, chosen by a hash of their ids; the index holds them all.
 FIT_ROWS = 3_000
 #: Letters of a word's beginning, examples to a block, neighbours that vote.
-PREFIX, BLOCK, NEIGHBOURS = 5, 256, 15
+PREFIX, BLOCK, NEIGHBOURS = 5, 512, 15
 #: A term's scale: FLOOR plus how far its label odds are beyond SURE standard errors.
 FLOOR, SURE = 0.1, 3.0
 #: New words that a worker remembers, and heaviest terms given as evidence.
-REMEMBERED, SHOWN = 1 << 18, 5
+REMEMBERED, SHOWN = 1 << 17, 5
 
 _WORD = regex.compile(r"\p{L}+")
 
@@ -257,18 +258,16 @@ def score_toxicity(docs: DataFrame, index: Index, *, k: int = NEIGHBOURS, id_col
     score alike; repeated rows each give a row; extra columns are ignored. The
     index is bounded by the fit's rows. No shuffle.
     """
-    state: list = []
+    sent, key = docs.sparkSession.sparkContext.broadcast(index), str(uuid4())  # a worker loads it once, not for every task
 
-    @fresh
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not state:
-            state.append(Vocabulary(index.terms))
+        vocabulary, index = kept(key, lambda: (Vocabulary(sent.value.terms), sent.value))
         gc.disable()  # the vocabulary has no cycles, and going through it takes long
         try:
             for b in batches:
                 scores, found, near, heavy = [], [0], [], []
                 for text in _strings(b.column("text")):
-                    t, n = state[0].counts(text)
+                    t, n = vocabulary.counts(text)
                     w = index.vector(t, n)
                     best = index.nearest(t, w, k)
                     scores.append(index.score(best))

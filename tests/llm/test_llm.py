@@ -653,7 +653,7 @@ def test_license_scan_matches_whole_text_search():
 
 def test_block_max_search_is_exact():
     rng = np.random.default_rng(0)
-    rows = [(i, int(rng.random() < 0.5), {f"t{t}": int(rng.integers(1, 4)) for t in set(rng.integers(0, 30, rng.integers(0, 8)))}) for i in range(700)]
+    rows = [(i, int(rng.random() < 0.5), {f"t{t}": int(rng.integers(1, 4)) for t in set(rng.integers(0, 30, rng.integers(0, 8)))}) for i in range(1300)]
     index = toxicity.build_index(rows)
     number, held = {t: i for i, t in enumerate(index.terms)}, {r[0]: r[2] for r in rows if r[2]}
     assert sorted(index.ids) == sorted(held) and index.ceiling.shape[1] > 1
