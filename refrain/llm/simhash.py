@@ -249,13 +249,16 @@ COUNTED, COMMON = 8_000, 1 << 16
 PAIRED = 16
 #: Bytes of the least sketch of a set; one has about a bit for each shingle, and a larger one folds to a smaller.
 SKETCH = 64
+#: Documents expected at a common shingle before they are dealt to several tasks for the chains,
+#: and documents of a large group that one task compares with as many others.
+CROWD, BLOCK = 1 << 16, 1 << 12
 
 _SET = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary()), ("size", pa.int32())])
 _HASH = pa.schema([("h", pa.int64())])
-_DEALT = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("size", pa.int32()), ("place", pa.int32())])
+_DEALT = pa.schema([("key", pa.int64()), ("salt", pa.int32()), ("doc_id", pa.int64()), ("size", pa.int32()), ("place", pa.int32())])
 _MET = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), ("size", pa.int32()), ("place", pa.int32())])
 _WHOLE = pa.schema([("doc_id", pa.int64()), ("hashes", pa.binary())])
-_SKETCH = pa.schema([("doc_id", pa.int64()), ("size", pa.int32()), ("sketch", pa.binary())])
+_SKETCH = pa.schema([("doc_id", pa.int64()), ("size", pa.int32()), ("sketch", pa.binary()), ("least", pa.binary())])
 
 
 def shingle_hashes(text: bytes, k: int) -> np.ndarray:
@@ -297,6 +300,26 @@ def _read(batches: Iterable[pa.RecordBatch], names: Iterable[str]) -> list[np.nd
     return [np.concatenate(x) for x in zip(*parts, strict=True)]
 
 
+def _units(batches: Iterable[pa.RecordBatch], keys: tuple[str, ...], names: tuple[str, ...]) -> Iterator[list[np.ndarray]]:
+    """The columns ``names`` of each run of rows with the same keys, one run in memory at a time."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        at = [b.column(k).to_numpy() for k in keys]
+        cuts = [0, *(np.flatnonzero(np.any([x[1:] != x[:-1] for x in at], axis=0)) + 1).tolist(), b.num_rows]
+        for x, y in zip(cuts, cuts[1:], strict=False):
+            unit = tuple(int(c[x]) for c in at)
+            if held and unit != last:
+                yield _read(held, names)
+                held = []
+            held.append(b.slice(x, y - x))
+            last = unit
+    if held:
+        yield _read(held, names)
+
+
 def _distinct_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     low, high = np.minimum(a, b), np.maximum(a, b)
     order = np.lexsort((high, low))
@@ -305,11 +328,14 @@ def _distinct_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return low[new], high[new]
 
 
-def _meet(key: np.ndarray, doc: np.ndarray, size: np.ndarray, place: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs to verify, and a mask of the rows in groups that are too large to be paired outright."""
+def _meet(key: np.ndarray, salt: np.ndarray, doc: np.ndarray, size: np.ndarray, place: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs to verify, and a mask of the rows in groups that are too large to be paired outright.
+
+    A salt from 0 tells a part of a group that was dealt out; it is large whatever is here of it.
+    """
 
     def steps(order: np.ndarray, most: int, within: np.ndarray) -> None:
-        k, d, x, p, w = key[order], doc[order], size[order], place[order], within[order]
+        k, d, x, p, w = group[order], doc[order], size[order], place[order], within[order]
         for step in range(1, min(most, len(k) - 1) + 1):
             i = np.flatnonzero((k[step:] == k[:-step]) & w[step:])
             if not len(i):
@@ -319,23 +345,30 @@ def _meet(key: np.ndarray, doc: np.ndarray, size: np.ndarray, place: np.ndarray,
             right.append(d[i + step])
 
     left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    _, group, count = np.unique(key, return_inverse=True, return_counts=True)
-    large = count[group] > PAIRED
-    by_size = np.lexsort((doc, size, key))
+    by_key = np.lexsort((salt, key))
+    new = np.concatenate([[True], (np.diff(key[by_key]) != 0) | (np.diff(salt[by_key]) != 0)])[: len(key)]
+    group = np.empty(len(key), dtype=np.int64)
+    group[by_key] = np.cumsum(new) - 1
+    large = (np.bincount(group)[group] > PAIRED) | (salt >= 0)
+    by_size = np.lexsort((doc, size, group))
     steps(by_size, PAIRED - 1, ~large)
     steps(by_size, 1, large)
     with np.errstate(over="ignore"):
         mixed = (doc ^ key).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    steps(np.lexsort((mixed ^ (mixed >> np.uint64(29)), key)), 2, large)
+    steps(np.lexsort((mixed ^ (mixed >> np.uint64(29)), group)), 2, large)
     return *_distinct_pairs(np.concatenate(left), np.concatenate(right)), large
 
 
-def _across(size: np.ndarray, place: np.ndarray, label: np.ndarray, sketch: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places of all pairs of one group with different labels that can be similar; rows come by size."""
+def _across(size: np.ndarray, place: np.ndarray, label: np.ndarray, part: np.ndarray, sketch: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of the pairs with different labels that can be similar; rows come by size.
+
+    Pairs are across two parts of a group, or all of them if there is one part.
+    """
     end = np.searchsorted(size, np.floor(size / similarity + 1e-9), side="right")
+    one = not len(part) or (part == part[0]).all()
     for i in range(len(size)):
         j = np.arange(i + 1, end[i])
-        j = j[label[j] != label[i]]
+        j = j[(label[j] != label[i]) & (one | (part[j] != part[i]))]
         j = j[_could(size[i], size[j], place[i], place[j], similarity)]
         apart = np.bitwise_count(sketch[j] ^ sketch[i]).sum(1, dtype=np.int64)
         j = j[apart <= size[i] + size[j] - 2 * _needed(size[i], size[j], similarity)]
@@ -356,8 +389,11 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, similarity: float = 0.8, id_
     of n (the prefix filter), so documents are dealt out by those, rare ones first.
     Up to ``PAIRED`` documents that share one are paired outright. A larger group
     is linked along chains, and then all its pairs that those verified links have
-    not joined are tried unless their sizes, places or sketches rule them out.
+    not joined are tried unless their sizes, places or sketches rule them out. That
+    goes by blocks of about ``BLOCK`` documents: a task compares two of them and
+    holds no more, so a group of any size is spread over the cluster.
     """
+    crowd, block = CROWD, BLOCK
     texts = id_text(docs, id_col, text_col).filter("doc_id IS NOT NULL")
 
     @fresh
@@ -386,33 +422,37 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, similarity: float = 0.8, id_
     @fresh
     def deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            prefixes, docs, sizes = [], b.column("doc_id").to_numpy(), []
-            for s in _sets(b, k):
-                n = len(s) - ceil(similarity * len(s) - 1e-9) + 1
+            prefixes, salts, docs, sizes = [], [], b.column("doc_id").to_numpy(), []
+            for doc, s in zip(docs.tolist(), _sets(b, k), strict=True):
+                n, weight = len(s) - ceil(similarity * len(s) - 1e-9) + 1, np.zeros(len(s), np.int64)
                 if len(common) and len(s):
                     at = np.minimum(np.searchsorted(common, s), len(common) - 1)
                     weight = np.where(common[at] == s, often[at], 0)
                     if weight.any():
-                        s = s[np.lexsort((s, weight))]
-                prefixes.append(s[: n if n > 1 else 0])  # so few shingles are similar only if equal
+                        order = np.lexsort((s, weight))
+                        s, weight = s[order], weight[order]
+                n = n if n > 1 else 0  # so few shingles are similar only if equal
+                shares = weight[:n] * every // crowd + 1
+                prefixes.append(s[:n])
+                salts.append(np.where(shares > 1, xxhash.xxh32_intdigest(doc.to_bytes(8, "little", signed=True)) % shares, -1))
                 sizes.append(len(s))
             n = np.array([len(p) for p in prefixes], dtype=np.int64)
             place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            yield batch(_DEALT, np.concatenate([*prefixes, np.zeros(0, np.uint64)]).view(np.int64), np.repeat(docs, n), np.repeat(np.array(sizes, dtype=np.int32), n), place.astype(np.int32))
+            yield batch(_DEALT, np.concatenate([*prefixes, np.zeros(0, np.uint64)]).view(np.int64), np.concatenate([*salts, np.zeros(0, np.int64)]).astype(np.int32), np.repeat(docs, n), np.repeat(np.array(sizes, dtype=np.int32), n), place.astype(np.int32))
 
     @fresh
     def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = _read(batches, _DEALT.names)
         if not columns:
             return
-        key, doc, size, place = columns
-        a, b, large = _meet(key, doc, size, place, similarity)
+        key, salt, doc, size, place = columns
+        a, b, large = _meet(key, salt, doc, size, place, similarity)
         none = pa.nulls(len(a), pa.int64())
         yield batch(_MET, a, b, none, none.cast(pa.int32()), none.cast(pa.int32()))
         yield batch(_MET, doc[large], pa.nulls(int(large.sum()), pa.int64()), key[large], size[large], place[large])
 
     n = partitions(docs.sparkSession)
-    dealt = texts.mapInArrow(deal, "key long, doc_id long, size int, place int").repartition(n, "key")
+    dealt = texts.mapInArrow(deal, "key long, salt int, doc_id long, size int, place int").repartition(n, "key", "salt")
     met = cut(dealt.mapInArrow(meet, "a long, b long, key long, size int, place int"))
     pairs = met.filter("b IS NOT NULL").select("a", "b").distinct()
     large = met.filter("b IS NULL")
@@ -424,9 +464,11 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, similarity: float = 0.8, id_
     def outline(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = _sets(b, k)
-            yield batch(_SKETCH, b.column("doc_id"), [len(s) for s in sets], [_sketch(s) for s in sets])
+            whole = [_sketch(s) for s in sets]
+            least = [_fold(np.frombuffer(s, dtype=np.uint8), SKETCH).tobytes() for s in whole]
+            yield batch(_SKETCH, b.column("doc_id"), [len(s) for s in sets], whole, least)
 
-    sketches = cut(join_few(texts, either(met), "doc_id").select("doc_id", "text").mapInArrow(outline, "doc_id long, size int, sketch binary"))
+    sketches = cut(join_few(texts, either(met), "doc_id").select("doc_id", "text").mapInArrow(outline, "doc_id long, size int, sketch binary, least binary"))
 
     @fresh
     def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -464,29 +506,30 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, similarity: float = 0.8, id_
         return pairs
 
     def verified(pairs: DataFrame) -> DataFrame:
-        likely = cut(both_sides(pairs, sketches).mapInArrow(sift, "a long, b long").distinct())
+        likely = cut(both_sides(pairs, sketches.drop("least")).mapInArrow(sift, "a long, b long").distinct())
         sets = cut(join_few(texts, either(likely), "doc_id").select("doc_id", "text").mapInArrow(keep, "doc_id long, hashes binary"))
         return cut(both_sides(likely, sets).mapInArrow(verify, "a long, b long"))
 
     @fresh
     def across(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        columns = _read(batches, ("key", "a", "size", "place", "label", "sketch"))
-        if not columns:
-            return
-        order = np.lexsort((columns[1], columns[2], columns[0]))
-        key, doc, size, place, label, sketch = (c[order] for c in columns)
-        sketch = np.stack([_fold(np.frombuffer(x, dtype=np.uint8), SKETCH) for x in sketch]).view(np.uint64)
-        cuts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
-        for x, y in zip(cuts[:-1], cuts[1:], strict=True):
-            if (label[x:y] == label[x]).all():
-                continue
-            for i, j in _across(size[x:y].astype(np.int64), place[x:y].astype(np.int64), label[x:y], sketch[x:y], similarity):
-                yield batch(_LINK, np.minimum(doc[x + i], doc[x + j]), np.maximum(doc[x + i], doc[x + j]))
+        for columns in _units(batches, ("key", "low", "high"), ("a", "size", "place", "label", "part", "least")):
+            order = np.lexsort((columns[0], columns[1]))
+            doc, size, place, label, part, least = (c[order] for c in columns)
+            sketch = np.stack([np.frombuffer(x, dtype=np.uint64) for x in least])
+            for i, j in _across(size.astype(np.int64), place.astype(np.int64), label, part, sketch, similarity):
+                yield batch(_LINK, np.minimum(doc[i], doc[j]), np.maximum(doc[i], doc[j]))
 
     found = verified(pairs)
     if large.limit(1).count():
         labelled = large.join(components(found).select(F.col("node").alias("a"), "component"), "a", "left").withColumn("label", F.coalesce("component", "a"))
-        labelled = labelled.join(sketches.select(F.col("doc_id").alias("a"), "sketch"), "a").select("key", "a", "size", "place", "label", "sketch")
-        rest = cut(labelled.repartition(n, "key").mapInArrow(across, "a long, b long").distinct())
+        labelled = cut(labelled.select("key", "a", "size", "place", "label"))
+        apart = labelled.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y")
+        split = labelled.join(apart.select("key", F.ceil(F.col("rows") / block).cast("int").alias("parts")), "key")
+        split = split.join(sketches.select(F.col("doc_id").alias("a"), "least"), "a").withColumn("part", F.pmod(F.xxhash64("a", "key"), F.col("parts")).cast("int"))
+        # Part x meets each other part, and itself in the unit (x, x).
+        split = split.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        split = split.select("key", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "a", "size", "place", "label", "part", "least")
+        units = split.repartition(n, "key", "low", "high").sortWithinPartitions("key", "low", "high")
+        rest = cut(units.mapInArrow(across, "a long, b long").distinct())
         found = found.unionByName(verified(rest))
     return components(same.unionByName(found)).select(F.col("node").alias("doc_id"), F.col("component").alias("component_id"))

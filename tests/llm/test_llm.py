@@ -545,6 +545,19 @@ def test_near_duplicates_are_not_crowded_out(spark):
     assert found_groups(spark, rows) == near_groups(rows)
 
 
+@pytest.mark.parametrize(("crowd", "block"), [(1, 1 << 12), (1 << 16, 7), (20, 50)])
+def test_near_duplicates_of_a_group_dealt_to_many_tasks(spark, monkeypatch, crowd, block):
+    # Variants that chains don't all join, among texts that share their first half alone.
+    monkeypatch.setattr(simhash, "CROWD", crowd)
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    rng = np.random.default_rng(14)
+    base = [f"w{x}" for x in rng.integers(0, 5000, 130)]
+    made = [changed(rng, base, 2) for _ in range(150)]
+    made += [base[:65] + [f"w{x}" for x in rng.integers(0, 5000, 65)] for _ in range(80)]
+    rows = numbered(made)
+    assert 50 < len(near_groups(rows)) < 200 and len(set(near_groups(rows).values())) > 1 and found_groups(spark, rows) == near_groups(rows)
+
+
 def test_near_duplicates_of_one_word_set(spark):
     # All texts have the same distinct words; the first is like none, each other one like its neighbour.
     rng = np.random.default_rng(12)
