@@ -16,6 +16,9 @@ LOWLEVEL = "mbid STRING, submission_offset INT, average_loudness DOUBLE, dynamic
 RHYTHM = "mbid STRING, submission_offset INT, bpm DOUBLE, bpm_histogram_first_peak_bpm_mean DOUBLE, bpm_histogram_first_peak_bpm_median DOUBLE, bpm_histogram_second_peak_bpm_mean DOUBLE, bpm_histogram_second_peak_bpm_median DOUBLE, danceability DOUBLE, onset_rate DOUBLE"
 TONAL = "mbid STRING, submission_offset INT, key_key STRING, key_scale STRING, tuning_frequency DOUBLE, tuning_equal_tempered_deviation DOUBLE"
 FEEDBACK = "schema_version INT, feedback_id STRING, recommendation_run_id STRING, track_id STRING, outcome STRING, recorded_at TIMESTAMP"
+ASSET = "track_id STRING, audio_path STRING, rights_basis STRING"
+# What allows a recording to be analysed.
+RIGHTS = ("owned", "licensed", "public_domain", "creative_commons")
 OUTCOMES = ("accepted", "rejected", "saved", "skipped", "listened")
 
 # Keys that must not leave the raw boundary.

@@ -11,10 +11,10 @@ from pathlib import Path
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refrain.contracts import CATALOG, ContractError, assert_all, assert_unique
+from refrain.contracts import ASSET, CATALOG, RIGHTS, ContractError, assert_all, assert_unique
 from refrain.functions.text import blank_to_null, track_uri
 from refrain.operators.identity import top_weighted
 
@@ -236,6 +236,39 @@ def fetch_documents(client: CachedJson, spark: SparkSession, ids: list[str], url
     return spark.createDataFrame(rows, "mbid string, document string")
 
 
+def read_audio_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """Recordings that may be analysed: track_id, audio_path, rights_basis.
+
+    Every field is required, ids are unique and the rights, without case, are of a
+    fixed list. A relative path is one beside the manifest. No row at all is an error.
+    """
+    rows = read_jsonl(spark, path, ASSET, unique=("track_id",)).select(*(blank_to_null(c).alias(c) for c in ("track_id", "audio_path", "rights_basis")))
+    assert_all(rows, F.col("track_id").isNotNull() & F.col("audio_path").isNotNull(), "an asset has no id or path")
+    rows = assert_all(rows.withColumn("rights_basis", F.lower("rights_basis")), F.col("rights_basis").isin(*RIGHTS), f"rights_basis must be one of {', '.join(RIGHTS)}")
+    if rows.isEmpty():
+        raise ContractError(f"{path} lists no recording")
+    beside = F.concat(F.lit(path.rpartition("/")[0] + "/"), "audio_path")
+    return rows.withColumn("audio_path", F.when(F.col("audio_path").rlike("^([A-Za-z][A-Za-z0-9+.-]*:)?/"), F.col("audio_path")).otherwise(beside))
+
+
+def audio_jobs(assets: DataFrame, files: DataFrame, settings: Mapping[str, Any]) -> DataFrame:
+    """Assets with content_sha256 and job_key, the digest of id, rights, content and settings.
+
+    ``files`` has path and content, as the binary file source reads them. A job is
+    done anew if any of these change, model versions being part of ``settings``.
+    Contents become digests before the join; an asset without its file is an error.
+    """
+
+    def local(c: str) -> Column:
+        return F.regexp_replace(c, "^file:/+", "/")
+
+    digests = files.select(local("path").alias("_path"), F.sha2("content", 256).alias("content_sha256"))
+    found = assets.withColumn("_path", local("audio_path")).join(digests, "_path", "left").drop("_path")
+    assert_all(found, F.col("content_sha256").isNotNull(), "an asset's file is missing")
+    given = F.lit(json.dumps(dict(settings), sort_keys=True))
+    return found.withColumn("job_key", F.sha2(F.to_json(F.struct("track_id", "rights_basis", "content_sha256", given.alias("settings"))), 256))
+
+
 def audio_windows(spark: SparkSession, path: str, extract: Callable[[bytes], list[list[float]]]) -> DataFrame:
     """(path, windows) of audio files by an injected extractor, one file at a time on the executors."""
 

@@ -128,6 +128,37 @@ def test_dump_archive(spark, tmp_path):
         tables.read_dump(spark, str(tmp_path / "lowlevel.csv"), contracts.TONAL)
 
 
+def test_audio_jobs(spark, tmp_path):
+    (tmp_path / "a.wav").write_bytes(b"one")
+    (tmp_path / "b.wav").write_bytes(b"two")
+    at = tmp_path / "manifest.jsonl"
+
+    def manifest(*rows):
+        at.write_text("".join(json.dumps(dict(zip(("track_id", "audio_path", "rights_basis"), r, strict=True))) + "\n" for r in rows), encoding="utf-8")
+        return tables.read_audio_manifest(spark, str(at))
+
+    def jobs(assets, **settings):
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.wav").load(str(tmp_path))
+        return {r.track_id: r for r in tables.audio_jobs(assets, files, settings).collect()}
+
+    assets = manifest(("x", "a.wav", " Owned"), ("y", str(tmp_path / "b.wav"), "licensed"))
+    first = jobs(assets, rate=1, bands=2)
+    assert first["x"].audio_path == str(tmp_path / "a.wav") and first["x"].rights_basis == "owned"
+    assert {k: r.job_key for k, r in jobs(assets, bands=2, rate=1).items()} == {k: r.job_key for k, r in first.items()}
+    assert not {r.job_key for r in jobs(assets, rate=2, bands=2).values()} & {r.job_key for r in first.values()}
+    done = spark.createDataFrame([(first["x"].job_key,)], "job_key string")
+    (tmp_path / "b.wav").write_bytes(b"three")
+    again = jobs(assets, rate=1, bands=2)
+    assert again["x"].job_key == first["x"].job_key and again["y"].job_key != first["y"].job_key
+    left = tables.uncached(spark.createDataFrame(list(again.values())), done)
+    assert [r.track_id for r in left.collect()] == ["y"]
+    for bad in ([("x", "a.wav", "found")], [("x", " ", "owned")], [("x", "a.wav", None)], [("x", "a.wav", "owned"), ("x", "b.wav", "owned")], []):
+        with pytest.raises(contracts.ContractError):
+            manifest(*bad)
+    with pytest.raises(contracts.ContractError):
+        jobs(manifest(("x", "gone.wav", "owned")))
+
+
 def test_cached_json(tmp_path):
     answers = [(503, {"Retry-After": "1"}, b""), (200, {}, b'{"a": 1}')]
     paused = []
