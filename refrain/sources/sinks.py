@@ -67,14 +67,26 @@ def batches(items: DataFrame, order: str, size: int = 100) -> DataFrame:
     """Adds ``position`` (from 0) and ``batch`` for requests of ``size`` items at most.
 
     Items are dealt out by ranges of ``order`` (unique), which are numbered each by
-    itself; only the ranges' sizes pass through one window.
+    itself; only the ranges' sizes pass through one window. The ranges' bounds are
+    chosen once, by a hash, and a row's range follows from them and its key alone:
+    a range partitioning would draw other bounds each time it is planned.
     """
-    ranged = items.repartitionByRange(order).withColumn("_p", F.spark_partition_id())
+    ranges = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    every = max(1, items.count() // (64 * ranges))
+    drawn = [r[0] for r in items.select(order).filter(F.col(order).isNotNull() & (F.pmod(F.xxhash64(order), F.lit(every)) == 0)).distinct().orderBy(order).collect()]
+    bounds = drawn[:: max(1, len(drawn) // ranges)]
+
+    def place(low: int, high: int) -> Column:
+        """The number of bounds up to a row's key, by halving; nulls come first."""
+        middle = (low + high) // 2
+        return F.lit(low) if low == high else F.when(F.col(order) >= bounds[middle], place(middle + 1, high)).otherwise(place(low, middle))
+
+    ranged = items.withColumn("_p", place(0, len(bounds)))
     before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     sizes = ranged.groupBy("_p").count().select("_p", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
     inside = F.row_number().over(Window.partitionBy("_p").orderBy(order)) - 1
     position = (F.col("_before") + F.col("_i")).cast("int")
-    numbered = ranged.withColumn("_i", inside).join(F.broadcast(sizes), "_p").withColumn("position", position).drop("_p", "_i", "_before")  # a row a partition
+    numbered = ranged.withColumn("_i", inside).join(F.broadcast(sizes), "_p").withColumn("position", position).drop("_p", "_i", "_before")  # a row a range
     return numbered.withColumn("batch", F.floor(F.col("position") / size).cast("int"))
 
 

@@ -193,6 +193,15 @@ def test_sinks(spark, tmp_path):
     assert "</script>" not in page.split("<script>")[1].split("</script>")[0] and "\\u003c/script\\u003e" in page
 
 
+def test_batches_number_rows_that_are_more_than_a_sample(spark):
+    rows = spark.range(60_000).select((F.col("id") * 7_919 % 60_000).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("other")).repartition(6)
+    got = sinks.batches(rows, "k").agg(F.max("other"), F.count(F.lit(1)).alias("n"), F.count_if((F.col("position") != F.col("k")) | (F.col("batch") != F.floor(F.col("k") / 100))).alias("wrong")).first()
+    assert (got.n, got.wrong) == (60_000, 0)
+    few = spark.createDataFrame([(None, "a"), (2, "b"), (1, "c")], "k int, v string")
+    assert [r.v for r in sinks.batches(few, "k").orderBy("position").collect()] == ["a", "c", "b"]
+    assert sinks.batches(few.limit(0), "k").count() == 0
+
+
 def test_feedback(spark, tmp_path):
     path = str(tmp_path / "feedback")
     at = F.timestamp_micros(F.lit(1_700_000_000_000_000))
