@@ -245,8 +245,8 @@ def shingles(text: bytes, k: int) -> set[bytes]:
 #: Documents whose shingles are counted to tell the common ones, and how many of these are sent out.
 #: They only set the order of shingles, so they decide about cost and never about results.
 COUNTED, COMMON = 8_000, 1 << 16
-#: Documents that share a shingle and are paired outright; larger groups are linked along chains first.
-PAIRED = 16
+#: Documents that share a shingle and that the chains pair outright; the others of a larger group are compared afterwards.
+CHAINED = 3
 #: Bytes of the least sketch of a set; one has about a bit for each shingle, and a larger one folds to a smaller.
 SKETCH = 64
 #: Documents expected at a common shingle before they are dealt to several tasks for the chains,
@@ -329,15 +329,17 @@ def _distinct_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def _meet(key: np.ndarray, salt: np.ndarray, doc: np.ndarray, size: np.ndarray, place: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs to verify, and a mask of the rows in groups that are too large to be paired outright.
+    """Pairs to verify, and a mask of the rows in groups that the chains don't pair outright.
 
-    A salt from 0 tells a part of a group that was dealt out; it is large whatever is here of it.
+    A row has three pairs at most with later ones, so that pairs grow with the rows, however
+    large groups are: the next by size, and the next two in an order of its key's own. A salt
+    from 0 tells a part of a group that was dealt out; it is large whatever is here of it.
     """
 
-    def steps(order: np.ndarray, most: int, within: np.ndarray) -> None:
-        k, d, x, p, w = group[order], doc[order], size[order], place[order], within[order]
+    def steps(order: np.ndarray, most: int) -> None:
+        k, d, x, p = group[order], doc[order], size[order], place[order]
         for step in range(1, min(most, len(k) - 1) + 1):
-            i = np.flatnonzero((k[step:] == k[:-step]) & w[step:])
+            i = np.flatnonzero(k[step:] == k[:-step])
             if not len(i):
                 break
             i = i[_could(x[i], x[i + step], p[i], p[i + step], similarity)]
@@ -349,13 +351,11 @@ def _meet(key: np.ndarray, salt: np.ndarray, doc: np.ndarray, size: np.ndarray,
     new = np.concatenate([[True], (np.diff(key[by_key]) != 0) | (np.diff(salt[by_key]) != 0)])[: len(key)]
     group = np.empty(len(key), dtype=np.int64)
     group[by_key] = np.cumsum(new) - 1
-    large = (np.bincount(group)[group] > PAIRED) | (salt >= 0)
-    by_size = np.lexsort((doc, size, group))
-    steps(by_size, PAIRED - 1, ~large)
-    steps(by_size, 1, large)
+    large = (np.bincount(group)[group] > CHAINED) | (salt >= 0)
+    steps(np.lexsort((doc, size, group)), 1)
     with np.errstate(over="ignore"):
         mixed = (doc ^ key).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    steps(np.lexsort((mixed ^ (mixed >> np.uint64(29)), group)), 2, large)
+    steps(np.lexsort((mixed ^ (mixed >> np.uint64(29)), group)), CHAINED - 1)
     return *_distinct_pairs(np.concatenate(left), np.concatenate(right)), large
 
 
@@ -376,20 +376,21 @@ def _across(size: np.ndarray, place: np.ndarray, label: np.ndarray, part: np.nda
             yield np.full(len(j), i), j
 
 
-def near_duplicates(docs: DataFrame, *, k: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, *, k: int = 5, similarity: float = 0.8, linked: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Documents whose k-word shingles are alike: doc_id and component_id of those with a partner.
 
     Two documents are linked if the Jaccard similarity of their sets of k-word
     shingles (as 64-bit hashes) is at least ``similarity``; the components are
-    those of all such links. Texts without words are alike. Null texts count as
-    empty; rows with a null id are left out.
+    those of all such links, and of the classes in ``linked`` (doc_id, component_id;
+    see ``simhash_classes``) if given, whose members aren't compared again. Texts
+    without words are alike. Null texts count as empty; rows with a null id are left out.
 
     Equal sets meet by digest, and one document stands for them. With all sets in
     one order, similar sets share a shingle among the first n - ceil(similarity n) + 1
     of n (the prefix filter), so documents are dealt out by those, rare ones first.
-    Up to ``PAIRED`` documents that share one are paired outright. A larger group
-    is linked along chains, and then all its pairs that those verified links have
-    not joined are tried unless their sizes, places or sketches rule them out. That
+    Those that share one are linked along chains, which pair up to ``CHAINED``
+    documents outright. Of a larger group all pairs that those verified links have
+    not joined are then tried unless their sizes, places or sketches rule them out. That
     goes by blocks of about ``BLOCK`` documents: a task compares two of them and
     holds no more, so a group of any size is spread over the cluster.
     """
@@ -519,9 +520,11 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, similarity: float = 0.8, id_
             for i, j in _across(size.astype(np.int64), place.astype(np.int64), label, part, sketch, similarity):
                 yield batch(_LINK, np.minimum(doc[i], doc[j]), np.maximum(doc[i], doc[j]))
 
+    if linked is not None:
+        same = cut(same.unionByName(linked.filter("doc_id <> component_id").select(F.col("component_id").alias("a"), F.col("doc_id").alias("b"))))
     found = verified(pairs)
     if large.limit(1).count():
-        labelled = large.join(components(found).select(F.col("node").alias("a"), "component"), "a", "left").withColumn("label", F.coalesce("component", "a"))
+        labelled = large.join(components(same.unionByName(found)).select(F.col("node").alias("a"), "component"), "a", "left").withColumn("label", F.coalesce("component", "a"))
         labelled = cut(labelled.select("key", "a", "size", "place", "label"))
         apart = labelled.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y")
         split = labelled.join(apart.select("key", F.ceil(F.col("rows") / block).cast("int").alias("parts")), "key")

@@ -581,6 +581,28 @@ def test_near_duplicates_with_a_tail(spark):
     assert len(near_groups(rows)) > 200 and found_groups(spark, rows) == near_groups(rows)
 
 
+def test_pairs_of_a_group_grow_with_its_rows():
+    for n in (2, 3, 16, 200):
+        key, doc = np.zeros(n, np.int64), np.arange(n)
+        a, b, large = simhash._meet(key, np.full(n, -1), doc, np.full(n, 100), np.zeros(n, np.int64), 0.8)
+        assert n - 1 <= len(a) <= 3 * n and large.all() == (n > 3)
+        assert n > 3 or len(a) == n * (n - 1) // 2
+
+
+def test_pipeline_near_copies_by_fingerprint_and_by_shingles(spark):
+    # One line over and over with other endings: near by fingerprint, its distinct shingles mostly differ.
+    rng = np.random.default_rng(21)
+    line = [f"w{x}" for x in rng.integers(0, 5000, 11)] * 30
+    lines = [" ".join(line + [f"v{x}" for x in rng.integers(0, 5000, 40)]) for _ in range(3)]
+    one = [f"w{x}" for x in rng.integers(0, 5000, 60)]
+    cut_off = [" ".join(one), " ".join(one[:50])]  # as shingles alike, by fingerprint not
+    rows = [(7, lines[0], None), (5, lines[1], None), (9, lines[2], None), (2, cut_off[0], None), (3, cut_off[1], None), (None, lines[0], None), (4, syllables(rng, 60), None)]
+    assert {r.doc_id: r.component_id for r in simhash.near_duplicates(docs(spark, rows)).collect()} == {2: 2, 3: 2}
+    classes = {r.doc_id: r.component_id for r in simhash.simhash_classes(docs(spark, rows[:5])).collect()}
+    assert classes == {7: 5, 5: 5, 9: 5, 2: 2, 3: 3}
+    assert sorted(str(r.doc_id) for r in corpus_pipeline.near(spark, docs(spark, rows), "").collect()) == ["2", "4", "5", "None"]
+
+
 def test_simhash_odd(odd, empty):
     got = {r.doc_id: r.component_id for r in simhash.simhash_classes(odd).collect()}
     assert got[1] == got[2] == got[5] == 1 and got[3] == got[6] == 3 and got[7] == 7
