@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import array_to_vector
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,20 +48,50 @@ def fit_logistic(train: DataFrame, names: Sequence[str], *, label: str = "label"
     """Minimises half the squared coefficients, the intercept among them, plus ``c``
     times the weighted log loss, on weighted-standardised features.
 
-    Spark leaves an intercept unpenalised and drops constant columns, so the
-    intercept is a column of ones, and each row also enters mirrored (all signs
-    turned, the label swapped), which leaves the loss as it is.
+    Newton's method: a step takes one pass over all rows, and a task gives back the sums
+    of its rows alone (the square of the features). The loss is strictly convex, so a
+    step that is halved until the loss doesn't rise leads to its one minimum.
     """
     names = list(names)
-    s = metrics.weighted_scaler(train, names, weight).first()
-    mean, scale = [float(s[f"{n}_mean"]) for n in names], [float(s[f"{n}_scale"]) for n in names]
-    x = F.array(*((F.col(n) - m) / k for n, m, k in zip(names, mean, scale, strict=True)), F.lit(1.0))
-    rows = train.select(x.alias("x"), F.col(label).cast("double").alias("y"), F.col(weight).cast("double").alias("w"))
-    both = rows.unionByName(rows.select(F.transform("x", lambda v: -v).alias("x"), (1 - F.col("y")).alias("y"), "w"))
-    total = rows.agg(F.sum("w").alias("t")).first().t
-    model = LogisticRegression(featuresCol="v", labelCol="y", weightCol="w", fitIntercept=False, standardization=False, regParam=1.0 / (c * total), elasticNetParam=0.0, tol=1e-12, maxIter=500).fit(both.withColumn("v", array_to_vector("x")))
-    *coefficients, intercept = (float(v) for v in model.coefficients)
-    return LinearModel(tuple(names), tuple(mean), tuple(scale), tuple(coefficients), intercept)
+    columns = [F.col(n).cast("double").alias(f"x{i}") for i, n in enumerate(names)]
+    rows = train.select(*columns, F.col(label).cast("double").alias("y"), F.col(weight).cast("double").alias("w")).persist()
+    s = metrics.weighted_scaler(rows, [f"x{i}" for i in range(len(names))], "w").first()
+    mean, scale = (np.array([float(s[f"x{i}_{part}"]) for i in range(len(names))]) for part in ("mean", "scale"))
+    d = len(names) + 1
+
+    def sums(beta: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            loss, slope, curve = 0.0, np.zeros(d), np.zeros((d, d))
+            for b in batches:
+                *x, y, w = (column.to_numpy(zero_copy_only=False) for column in b.columns)
+                z = np.column_stack([*((v - m) / k for v, m, k in zip(x, mean, scale, strict=True)), np.ones(len(y))])
+                score = z @ beta
+                p = np.exp(-np.logaddexp(0, -score))
+                loss += float((w * (np.logaddexp(0, score) - y * score)).sum())
+                slope += z.T @ (w * (p - y))
+                curve += (z * (w * p * (1 - p))[:, None]).T @ z
+            yield pa.RecordBatch.from_arrays([pa.array([[loss, *slope, *curve.ravel()]], type=pa.list_(pa.float64()))], names=["part"])
+
+        parts = sorted(r.part for r in rows.mapInArrow(run, "part array<double>").collect())
+        total = np.sum(np.array(parts, dtype=float).reshape(-1, 1 + d + d * d), axis=0)
+        return float(beta @ beta / 2 + c * total[0]), beta + c * total[1 : 1 + d], np.eye(d) + c * total[1 + d :].reshape(d, d)
+
+    beta = np.zeros(d)
+    value, slope, curve = sums(beta)
+    while True:
+        step = np.linalg.solve(curve, slope)
+        if not np.isfinite(step).all():
+            raise ValueError("a feature, label or weight is not a number")
+        if np.abs(step).max() <= 1e-9 * (1 + np.abs(beta).max()):
+            break
+        at = sums(beta - step)
+        while at[0] > value + 1e-12 * abs(value) and np.abs(step).max() > 1e-12:
+            step = step / 2
+            at = sums(beta - step)
+        beta, (value, slope, curve) = beta - step, at
+    rows.unpersist()
+    *coefficients, intercept = (float(v) for v in beta)
+    return LinearModel(tuple(names), tuple(mean.tolist()), tuple(scale.tolist()), tuple(coefficients), intercept)
 
 
 def predict(samples: DataFrame, model: LinearModel, name: str) -> DataFrame:
@@ -70,7 +101,10 @@ def predict(samples: DataFrame, model: LinearModel, name: str) -> DataFrame:
 
 def evaluate(predictions: DataFrame, k: int = 10) -> dict[str, Any]:
     parts = [metrics.auc(predictions), metrics.average_precision(predictions), metrics.log_loss_brier(predictions), metrics.calibration_error(predictions), metrics.ranking(predictions, k=k)]
-    return {k2: v for part in parts for k2, v in part.first().asDict().items()}
+    together = parts[0]
+    for part in parts[1:]:
+        together = together.crossJoin(F.broadcast(part))  # single rows
+    return together.first().asDict()
 
 
 @dataclass(frozen=True)
@@ -91,6 +125,23 @@ class Fitted:
         return (v.get("ndcg_at_k") or 0.0, v.get("average_precision") or 0.0, self.variant.name)
 
 
+#: Variants in work at once: each is a chain of short jobs that leave most cores idle.
+AT_ONCE = 8
+
+
+def _together(f: Callable, items: Sequence) -> list:
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        return list(pool.map(f, items))
+
+
+class NothingTrained(ValueError):
+    """No variant could be fitted; ``found`` has each with its reason."""
+
+    def __init__(self, found: list[Fitted]):
+        super().__init__("no variant has two labels in training and rows in every split")
+        self.found = found
+
+
 def with_audio(samples: DataFrame, observations: DataFrame, descriptors: Sequence[Selector], embedding: Selector | None, minimum_confidence: float = 0.0) -> tuple[DataFrame, list[str], list[str]]:
     """Samples with a column for each descriptor and embedding element, null unless the
     track has all of the profile, and the names of both kinds of columns."""
@@ -106,7 +157,8 @@ def train_taste_models(samples: DataFrame, *, observations: DataFrame | None = N
 
     Each variant is fitted on the training split and evaluated on the others. Audio
     variants, and the behaviour model they are compared with, see the tracks with the
-    whole profile; one of that cohort is selected if there is a profile.
+    whole profile; one of that cohort is selected if there is a profile. Raises
+    ``NothingTrained`` if no variant can be fitted.
     """
     d: list[str] = []
     e: list[str] = []
@@ -114,10 +166,11 @@ def train_taste_models(samples: DataFrame, *, observations: DataFrame | None = N
     if observations is not None and (descriptors or embedding):
         rows, d, e = with_audio(samples, observations, descriptors, embedding, minimum_confidence)
     rows = rows.cache()
-    out = [fit_variant(rows, v, d, e, k=k, c=c) for v in variants(bool(d), bool(e))]
+    rows.count()
+    out = _together(lambda v: fit_variant(rows, v, d, e, k=k, c=c), variants(bool(d), bool(e)))
     trained = [f for f in out if f.model]
     if not trained:
-        raise ValueError("no variant has two labels in training and rows in every split")
+        raise NothingTrained(out)
     cohort = [f for f in trained if f.variant.matched == bool(d or e)] or trained
     chosen, compared = select_variant(rows, cohort, k=k)
     return out, chosen, compared
@@ -149,7 +202,9 @@ def select_variant(rows: DataFrame, cohort: Sequence[Fitted], *, k: int = 10) ->
     def predicted(f: Fitted) -> DataFrame:
         return predict(_seen(rows, f.variant, f.features, audio).filter("split = 'validation'"), f.model, f.variant.name)
 
-    compared = {f.variant.name: metrics.bootstrap(metrics.paired_deltas(predicted(f), predicted(best), k=k)) for f in cohort if f is not best}
+    others = [f for f in cohort if f is not best]
+    lifts = _together(lambda f: metrics.bootstrap(metrics.paired_deltas(predicted(f), predicted(best), k=k)), others)
+    compared = {f.variant.name: lift for f, lift in zip(others, lifts, strict=True)}
     tied = [best, *(f for f in cohort if f is not best and compared[f.variant.name]["low"] <= 0)]
     fewest = min(len(f.features) for f in tied)
     return max((f for f in tied if len(f.features) == fewest), key=lambda f: f.merit), compared

@@ -270,6 +270,14 @@ def test_logistic_matches_newton(spark):
         training.from_json(training.to_json(model) | {"intercept": 0.0})
 
 
+def test_taste_variants_without_two_labels_are_listed(spark):
+    rows = [(f"s{i}", f"k{i}", s, p, 0, 1.0, *([float(i)] * 13)) for i, (s, p) in enumerate([("train", 0), ("train", 1), ("validation", 2), ("test", 3)])]
+    samples = spark.createDataFrame(rows, "sample_id string, track_id string, split string, period_index int, label int, sample_weight double, " + ", ".join(f"{n} double" for n in temporal.FEATURES))
+    with pytest.raises(training.NothingTrained) as none:
+        training.train_taste_models(samples)
+    assert [f.reason for f in none.value.found] == ["the training split has one label alone"] * 3
+
+
 def test_taste_map(spark):
     rows = [(f"t{c}{o}", [cx + o / 100, cy - o / 100, cx, cy, 1 + o / 100]) for c, (cx, cy) in enumerate([(-5.0, -5.0), (0.0, 5.0), (5.0, -5.0)]) for o in range(10)]
     df = spark.createDataFrame(rows, "track_id string, vector array<double>")
