@@ -127,6 +127,11 @@ def forget() -> None:
     if not gc.get_freeze_count():
         gc.freeze()
     _KEPT.clear()
+    release()
+
+
+def release() -> None:
+    """Return freed memory of this process to the system, which allocators would keep."""
     gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)

@@ -181,14 +181,25 @@ def links(fps: DataFrame, t: int, *, agree: int | None = None) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
+#: Links whose components one task finds, 16 MB of them; more are spread over rounds.
+GATHERED = 1 << 20
+
+_LABEL = pa.schema([("node", pa.int64()), ("component", pa.int64())])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): each node of the edges (a, b) with the smallest node it can reach.
 
-    Labels spread along edges and jump along themselves until none changes; each
-    round is cut, so a lost executor costs one round at most. Nothing but one
-    count a round comes to the driver.
+    Up to ``GATHERED`` distinct edges are joined by one task in a stage of its own. Rounds
+    over them would cost the driver thousands of tasks to keep account of, as each one has
+    several shuffles. Of more edges, labels spread along them and jump along themselves
+    until none changes; each round is cut, so a lost executor costs one round at most.
+    Nothing but counts comes to the driver.
     """
-    both = cut(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct())
+    edges = cut(edges.select("a", "b").filter("a <> b").distinct())
+    if edges.count() <= GATHERED:
+        return cut(edges.coalesce(1).mapInArrow(_gather, "node long, component long"))
+    both = cut(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = both.select(F.col("a").alias("node")).distinct().withColumn("component", F.col("node"))
     while True:
         near = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("component").alias("low"))
@@ -201,6 +212,17 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+@fresh
+def _gather(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    ends = _read(batches, ("a", "b"))
+    if not ends:
+        return
+    node, place = np.unique(np.concatenate(ends), return_inverse=True)
+    label = _union(np.arange(len(node)), *np.split(place, 2))
+    for i in range(0, len(node), 1 << 18):
+        yield batch(_LABEL, node[i : i + (1 << 18)], node[label[i : i + (1 << 18)]])
+
+
 _FP = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
 
 

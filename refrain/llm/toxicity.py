@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from refrain.llm.base import batch, fit_rows, fresh, id_text, join_few, kept, utf8
+from refrain.llm.base import batch, fit_rows, fresh, id_text, join_few, kept, release, utf8
 
 #: Labelled rows that a fit may use, chosen by a hash of their ids; the index holds them all.
 FIT_ROWS = 3_000
@@ -246,7 +246,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, rows: int = FIT_ROWS, k:
 
     got = texts.mapInArrow(examples, "doc_id long, label int, terms array<string>, counts array<int>").toArrow()
     columns = [got.column(c).to_pylist() for c in _EXAMPLE.names]
-    return build_index([(i, label, dict(zip(t, n, strict=True))) for i, label, t, n in zip(*columns, strict=True)], k)
+    index = build_index([(i, label, dict(zip(t, n, strict=True))) for i, label, t, n in zip(*columns, strict=True)], k)
+    del got, columns
+    release()  # the driver may have more stages to run
+    return index
 
 
 def score_toxicity(docs: DataFrame, index: Index, *, k: int = NEIGHBOURS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
