@@ -23,6 +23,7 @@ Tables move as packed arrays, a row for each batch and shard.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, replace
 
@@ -176,11 +177,16 @@ _JUDGE, _PASS = 0, 1
 def _dealt(columns: list[np.ndarray], shard: np.ndarray, kind: int) -> Iterator[tuple[int, int, bytes]]:
     order = np.argsort(shard, kind="stable")
     columns, shard = [c[order] for c in columns], shard[order]
-    cuts = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]])) if len(shard) else []
-    for a, b in zip(cuts, [*cuts[1:], len(shard)], strict=True):
+    for a, b in _stretches(shard):
         yield int(shard[a]), kind, pack(*(c[a:b] for c in columns))
 
 
+def _stretches(shard: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Where each shard's stretch of sorted numbers begins and ends; none if there are none, as where no key of a batch comes again."""
+    edges = np.flatnonzero(shard[1:] != shard[:-1]) + 1
+    return itertools.pairwise([0, *edges.tolist(), len(shard)] if len(shard) else [])
+
+
 def _rows(schema: pa.Schema, columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
     for i in range(0, len(columns[0]), 1 << 17):
         yield batch(schema, *(c[i : i + (1 << 17)].astype(np.int64, copy=False) if c.dtype != np.uint64 else c[i : i + (1 << 17)].view(np.int64) for c in columns))
@@ -331,8 +337,7 @@ def judged(texts: DataFrame, runs: DataFrame, units: Units, judge: Judge) -> Dat
                 size = np.fromiter(map(len, bodies), dtype=np.uint32, count=len(bodies))
                 shard = (columns[4] % np.uint64(shards)).astype(np.int64)
                 order = np.argsort(shard, kind="stable")
-                cuts = np.flatnonzero(np.concatenate([[True], shard[order][1:] != shard[order][:-1]])) if len(order) else []
-                for x, y in zip(cuts, [*cuts[1:], len(order)], strict=True):
+                for x, y in _stretches(shard[order]):
                     mine = order[x:y]
                     out.append((int(shard[mine[0]]), _JUDGE, pack(*(c[mine] for c in (*columns[:4], mark, columns[5], size))) + b"".join([bodies[i] for i in mine])))
             if covered:

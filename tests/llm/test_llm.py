@@ -324,6 +324,22 @@ def test_substring_dedup(spark, window):
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in got} == brute_words(items, window)
 
 
+@pytest.mark.parametrize("hot", [1 << 16, 1])
+def test_batches_in_which_no_key_comes_again(spark, monkeypatch, hot):
+    monkeypatch.setattr(repeats, "HOT", hot)
+    rng = np.random.default_rng(5)
+    passage = syllables(rng, 40)
+    rows = [(i, f"{syllables(rng, 9)} {passage} {syllables(rng, 9)}") for i in range(3)]
+    table = docs(spark, [(i, t, None) for i, t in rows])
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 1)
+    try:
+        words = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup.substring_dedup(table, window=12).collect()}
+        data = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.suffix_dedup(table, window=100).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert words == brute_words(rows, 12) and data == brute_bytes(rows, 100)
+
+
 @pytest.mark.parametrize("kind", ["bytes", "words"])
 def test_windows_of_hot_keys_are_dealt_anew(spark, monkeypatch, kind):
     monkeypatch.setattr(repeats, "HOT", 3)
