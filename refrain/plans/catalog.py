@@ -624,8 +624,8 @@ def taste_variants(spark: SparkSession, sf: str) -> DataFrame:
     """Every feature variant, fitted on listening samples with catalogue and vector features,
     or the reason why it can't be."""
     samples = temporal.temporal_samples(events(spark, sf), PERIODS)
-    tracks = observations(spark, sf).withColumn("track_id", F.concat(F.lit("k"), F.substring("track_id", 2, 9)))
-    v = vectors(spark, sf).select(F.concat(F.lit("k"), "track_id").alias("track_id"), F.lit("audio_v1").alias("feature_name"), F.lit("clip").alias("feature_source"), F.lit("v1").alias("source_version"), F.lit(None).cast("double").alias("value_number"), F.lit(None).cast("string").alias("value_text"), F.slice("embedding", 1, 8).alias("value_vector"), F.lit(30.0).alias("coverage_seconds"), F.lit(1.0).alias("feature_confidence"))
+    tracks = observations(spark, sf).withColumn("track_id", F.concat(F.lit("k"), F.expr("substring(track_id, 2)")))
+    v = vectors(spark, sf).select(F.concat(F.lit("k"), "track_id").alias("track_id"), F.lit("audio_v1").alias("feature_name"), F.lit("clip").alias("feature_source"), F.lit("v1").alias("source_version"), F.lit(None).cast("double").alias("value_number"), F.lit(None).cast("string").alias("value_text"), F.col("embedding").alias("value_vector"), F.lit(30.0).alias("coverage_seconds"), F.lit(1.0).alias("feature_confidence"))
     try:
         found, chosen, _ = training.train_taste_models(samples, observations=tracks.unionByName(v), descriptors=[features.Selector("size_v1", *_SOURCE), features.Selector("price_v1", *_SOURCE)], embedding=features.Selector("audio_v1", "clip", "v1"))
     except training.NothingTrained as none:  # many events a track and period can vote alike everywhere

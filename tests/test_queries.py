@@ -6,8 +6,11 @@ import duckdb
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from refrain.operators import training
+from refrain.plans import catalog
 from refrain.plans.catalog import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
@@ -48,6 +51,22 @@ def test_query_without_sql_has_rows(spark, name):
     assert QUERIES[name](spark, SF).count() > 0
 
 
+def test_taste_variants_take_whole_vectors_and_keys(spark, monkeypatch):
+    taken, real = {}, catalog.observations
+
+    def stop(samples, *, observations, **_):
+        taken["rows"] = observations
+        raise training.NothingTrained([])
+
+    monkeypatch.setattr(training, "train_taste_models", stop)
+    monkeypatch.setattr(catalog, "observations", lambda s, sf: real(s, sf).withColumn("track_id", F.lit("u12345678901")))
+    assert catalog.taste_variants(spark, SF).count() == 0
+    audio = taken["rows"].filter("feature_name = 'audio_v1'").select(F.substring("track_id", 2, 20).cast("long").alias("vec_id"), "value_vector")
+    whole = catalog.table(spark, SF, "embeddings").join(audio, "vec_id").filter(F.col("embedding").cast("array<double>") == F.col("value_vector"))
+    assert whole.count() == catalog.table(spark, SF, "embeddings").count()
+    assert {r.track_id for r in taken["rows"].filter("feature_name = 'size_v1'").select("track_id").distinct().collect()} == {"k12345678901"}
+
+
 def test_entry_has_rows(spark):
     assert entry.entry(spark).count() > 0
 
