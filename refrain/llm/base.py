@@ -5,7 +5,6 @@ from __future__ import annotations
 import ctypes
 import functools
 import gc
-import tempfile
 from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
@@ -14,27 +13,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from refrain.functions.lineage import cut
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read ``<sf_dir>/<name>.parquet`` through Spark, whatever store it is in."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the reliable checkpoint folder and forget its lineage.
-
-    The folder is the cluster's ``spark.checkpoint.dir``. A local session without
-    one (a test) gets a temporary folder; a cluster's must name it.
-    """
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        if not named and not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="refrain-"))
-    return df.checkpoint()
-
-
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

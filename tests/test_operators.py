@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -310,6 +311,39 @@ def test_density_labels_find_noise():
     assert label[-1] == -1 and len({*label[:40]} - {-1}) == 1 and len({*label[40:80]} - {-1}) == 1 and label[0] != label[40]
 
 
+def noisy(n):
+    rng = np.random.default_rng(4)
+    return np.concatenate([rng.normal(size=(n // 2, 2)), rng.uniform(-6, 6, size=(n // 4, 2)), rng.normal(size=(n - n // 2 - n // 4, 2)) * 0.2 + 3])
+
+
+def test_density_labels_hold_no_square_of_the_rows():
+    x = noisy(4000)
+    tracemalloc.start()
+    clustering.density_labels(x, 10)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4000 * 4000 * 8
+
+
+def test_density_clusters_by_blocks(spark):
+    x = noisy(500)
+    df = clustering.numbered(spark.createDataFrame([(r.tolist(),) for r in x], "vector array<double>").repartition(3).persist())
+    rows = df.orderBy("i").collect()
+    assert [r.i for r in rows] == list(range(500))
+    x = np.array([r.vector for r in rows])
+    found = clustering.density_clusters(df, (5, 20, 300), block=70).toPandas()
+    assert set(found["size"]) == {5, 20}  # 300 points can't be two clusters
+    for least in (5, 20):
+        got, want = found[found["size"] == least].sort_values("i")["cluster_id"].to_numpy(), clustering.density_labels(x, least)
+        both = np.zeros((got.max() + 2, want.max() + 2))
+        np.add.at(both, (got + 1, want + 1), 1)
+        assert len(got) == 500 and got.max() > 0 and got.min() == -1 and clustering._rand(both) > 0.98  # equal lengths may part otherwise
+        clusters = spark.createDataFrame([(i, int(c), v.tolist()) for i, (c, v) in enumerate(zip(got, x, strict=True)) if c >= 0], "track_id long, cluster_id int, vector array<double>")
+        exact = clustering.silhouette(clusters).first().silhouette
+        for block, widest in ((10_000, 256), (40, 2)):
+            assert clustering.silhouette_of_many(clusters, block=block, widest=widest) == pytest.approx(exact)
+
+
 def test_vectors(spark):
     df = spark.createDataFrame([("a", [1.0, 0.0]), ("a", [0.0, 1.0])], "k string, v array<double>")
     assert V.pooled(df, ["k"], "v").first().pooled == pytest.approx([math.sqrt(0.5)] * 2)
